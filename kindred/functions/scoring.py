@@ -5,6 +5,8 @@ Names must already be normalised: lower-case ASCII words separated by single spa
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 import numpy as np
 
 from .lanes import PAD_A, PAD_B, Strands, lcs, windows
@@ -16,7 +18,8 @@ FAR_PARTIAL_WEIGHT = 0.6
 FAR_LENGTH_RATIO = 8
 
 _ALPHABET = b" abcdefghijklmnopqrstuvwxyz0123456789"
-_LEVELS = 8
+_CODE = np.zeros(256, np.int64)
+_CODE[np.frombuffer(_ALPHABET, np.uint8)] = np.arange(len(_ALPHABET))
 # Pairs scored before the first look at which others still matter.
 _FIRST_PAIRS = 1 << 15
 # Bounds are kept in single precision; pairs this close to a cutoff are still scored.
@@ -33,6 +36,7 @@ class NameSide:
         self.sorted = Strands([" ".join(sorted(w)) for w in words])
         self.unique = Strands([" ".join(u) for u in unique])
         self.size = self.plain.size
+        self.letters = np.array([sum(map(len, w)) for w in words], np.int32)
         self.repeats = self.sorted.size != self.unique.size
         self.n_tokens = np.fromiter(map(len, unique), np.int32, len(unique))
         width = max(1, int(self.n_tokens.max(initial=0)))
@@ -45,12 +49,20 @@ class NameSide:
 
     def char_counts(self):
         """Occurrences of each alphabet character per name."""
-        counts = np.zeros((self.size.size, len(_ALPHABET)), np.float32)
         owner = np.repeat(np.arange(self.size.size), self.size)
-        column = np.zeros(256, np.int64)
-        column[np.frombuffer(_ALPHABET, np.uint8)] = np.arange(len(_ALPHABET))
-        np.add.at(counts, (owner, column[self.plain.flat[:-1]]), 1)
-        return counts
+        return self._count(owner, _CODE[self.plain.flat[:-1]], len(_ALPHABET))
+
+    def pair_counts(self):
+        """Occurrences of each pair of neighbouring characters inside a word, per name."""
+        code = _CODE[self.plain.flat[:-1]]
+        owner = np.repeat(np.arange(self.size.size), self.size)
+        inside = (code[:-1] > 0) & (code[1:] > 0) & (owner[:-1] == owner[1:])
+        pairs = (code[:-1] * len(_ALPHABET) + code[1:])[inside]
+        return self._count(owner[:-1][inside], pairs, len(_ALPHABET) ** 2)
+
+    def _count(self, owner, code, kinds):
+        flat = np.bincount(owner * kinds + code, minlength=self.size.size * kinds)
+        return flat.reshape(self.size.size, kinds).astype(np.float32)
 
 
 def two_sides(left, right):
@@ -94,7 +106,6 @@ class _Difference:
     def __init__(self, side, ids, shared):
         self.strands, self.ids = side.unique, ids
         kept = ~shared & (side.token[ids] >= 0)
-        self.left_over, _ = _joined_size(side.token_size[ids], kept)
         ends = np.cumsum(np.where(side.token[ids] >= 0, side.token_size[ids] + 1, 0), axis=1)
         self.ends, self.kept, self.first = ends, kept, np.argmax(kept, axis=1)
         self.size = side.unique.size[ids]
@@ -113,28 +124,37 @@ class _Difference:
         return np.where(keep, codes, np.uint8(pad))
 
 
-def _token_set(a, ai, b, bi, shared_a, shared_b):
-    """Token-set score of pairs; the sides' shared-token matrices are given."""
-    out = np.zeros(len(ai))
-    na, nb = a.n_tokens[ai], b.n_tokens[bi]
-    common, n_common = _joined_size(a.token_size[ai], shared_a)
+def _token_set(a, ai, b, bi, shared_a, shared_b, goal=None, bag=None):
+    """Token-set score of pairs; the sides' shared-token matrices are given.
+
+    With a ``goal`` per pair, scores that cannot exceed it may come back too low.
+    """
+    na, nb = a.n_tokens[ai].astype(np.int64), b.n_tokens[bi].astype(np.int64)
+    s, n_common = _joined_size(a.token_size[ai], shared_a)
     alive = (na > 0) & (nb > 0)
     subset = alive & (n_common > 0) & ((n_common == na) | (n_common == nb))
+    size_a, size_b = a.unique.size[ai].astype(np.int64), b.unique.size[bi].astype(np.int64)
+    gap = (s > 0).astype(np.int64)
+    la, lb = size_a - s - gap, size_b - s - gap
+    total = np.maximum(2 * (s + gap) + la + lb, 1)
+    out = np.where(alive & (s > 0), 200.0 * s / np.maximum(s + np.minimum(s + gap + la, s + gap + lb), 1), 0.0)
     out[subset] = 100.0
-    at = np.flatnonzero(alive & ~subset)
+    alive &= ~subset
+    if goal is not None:
+        most = np.minimum(la, lb)
+        if bag is not None:
+            # Shared tokens use up their characters; spaces between the others may match.
+            plain = ~(a.repeats[ai] | b.repeats[bi])
+            letters = bag - np.minimum(na, nb) + 1 - (s - np.maximum(n_common - 1, 0))
+            rest = letters + np.minimum(na, nb) - n_common - 1
+            most = np.where(plain, np.minimum(most, rest), most)
+        alive &= 200.0 * (s + gap + most) / total + SLACK >= np.maximum(goal, out)
+    at = np.flatnonzero(alive)
     if at.size:
-        da = _Difference(a, ai[at], shared_a[at])
-        db = _Difference(b, bi[at], shared_b[at])
         every = np.arange(at.size)
-        la, lb = da.left_over, db.left_over
-        s = common[at]
-        gap = (s > 0).astype(np.int64)
-        p, q = s + gap + la, s + gap + lb
-        distance = la + lb - 2 * lcs(da, every, db, every)
-        best = 200.0 * (p + q - distance) / 2 / (p + q)
-        with_a = 100.0 * (2 * s) / (s + p)
-        with_b = 100.0 * (2 * s) / (s + q)
-        out[at] = np.maximum(best, np.where(s > 0, np.maximum(with_a, with_b), 0.0))
+        left, right = _Difference(a, ai[at], shared_a[at]), _Difference(b, bi[at], shared_b[at])
+        common = lcs(left, every, right, every)
+        out[at] = np.maximum(out[at], 200.0 * (s[at] + gap[at] + common) / total[at])
     return out
 
 
@@ -142,58 +162,80 @@ def _token_sort(a, ai, b, bi):
     return _ratio(lcs(a.sorted, ai, b.sorted, bi), a.size[ai], b.size[bi])
 
 
-def _weighted(a, ai, b, bi, base, partial, floor, bag=None):
-    """Weighted scorer, given each pair's plain and best-window ratios.
+def _far_weight(short, long):
+    return np.where(long <= FAR_LENGTH_RATIO * short, PARTIAL_WEIGHT, FAR_PARTIAL_WEIGHT)
+
+
+def _raise(score, at, values):
+    score[at] = np.maximum(score[at], values)
 
-    ``partial`` may hold zeros for pairs whose lengths are alike: they do not use it.
-    Terms that cannot lift a pair above ``floor`` or above its other terms are skipped.
+
+def _weighted(ensemble, a, ai, b, bi, floor, overlap):
+    """Weighted scorer, or the larger of it and the partial ratio.
+
+    Terms whose bound lies below ``floor`` or below the pair's other terms are skipped.
     """
     la, lb = a.size[ai].astype(np.int64), b.size[bi].astype(np.int64)
     short, long = np.minimum(la, lb), np.maximum(la, lb)
     some = short > 0
     alike = some & (2 * long < 3 * short)
     apart = some & ~alike
-    weight = np.where(long <= FAR_LENGTH_RATIO * short, PARTIAL_WEIGHT, FAR_PARTIAL_WEIGHT)
-    score = np.where(some, base, 0.0)
-    score[apart] = np.maximum(score, partial * weight)[apart]
-
+    weight = _far_weight(short, long)
     shared_a, shared_b = _shared_tokens(a, ai, b, bi)
     share = shared_a.any(axis=1)
-    token = np.where(apart & share, 100.0 * TOKEN_WEIGHT * weight, 0.0)
-    score = np.maximum(score, token)
-
     repeats = a.repeats[ai] | b.repeats[bi]
-    if bag is None:
-        bag = short
-    goal = np.maximum(score, floor)
-    # Sorted tokens hold the same characters, so the character bound carries over.
-    sort_bound = np.where(some, 200.0 * bag / np.maximum(la + lb, 1), 0.0) * TOKEN_WEIGHT
-    at = np.flatnonzero(alike & (sort_bound + SLACK >= goal))
+    score = np.where(apart & share, 100.0 * TOKEN_WEIGHT * weight, 0.0)
+
+    def worth(who, bound):
+        return np.flatnonzero(who & (bound + SLACK >= np.maximum(score, floor)))
+
+    # Sorting the tokens keeps both bounds.
+    ratio_bound = 200.0 * overlap.whole / np.maximum(la + lb, 1)
+    window_bound = 200.0 * overlap.window / np.maximum(short + overlap.window, 1)
+
+    at = worth(alike & share, TOKEN_WEIGHT * 100.0)
     if at.size:
-        score[at] = np.maximum(score[at], TOKEN_WEIGHT * _token_sort(a, ai[at], b, bi[at]))
-    at = np.flatnonzero(alike & (share | repeats))
+        goal = np.maximum(score, floor)[at] / TOKEN_WEIGHT
+        token = _token_set(a, ai[at], b, bi[at], shared_a[at], shared_b[at], goal, overlap.chars[at])
+        _raise(score, at, TOKEN_WEIGHT * token)
+    at = np.flatnonzero(alike & ~share & repeats)
     if at.size:
         token = _token_set(a, ai[at], b, bi[at], shared_a[at], shared_b[at])
-        score[at] = np.maximum(score[at], TOKEN_WEIGHT * token)
+        _raise(score, at, TOKEN_WEIGHT * token)
 
-    window_bound = 200.0 * bag / np.maximum(short + bag, 1) * TOKEN_WEIGHT * weight
-    alone = apart & ~share
-    at = np.flatnonzero(alone & (window_bound + SLACK >= np.maximum(score, floor)))
+    if ensemble:
+        at = worth(some, np.maximum(ratio_bound, window_bound))
+    else:
+        at = worth(apart, np.maximum(ratio_bound, window_bound * weight))
+    if at.size:
+        common, partial = windows(a.plain, ai[at], b.plain, bi[at])
+        _raise(score, at, _ratio(common, la[at], lb[at]))
+        far = np.where(apart[at], partial * weight[at], 0.0)
+        _raise(score, at, np.maximum(far, partial) if ensemble else far)
+    if not ensemble:
+        at = worth(alike, ratio_bound)
+        if at.size:
+            _raise(score, at, _ratio(lcs(a.plain, ai[at], b.plain, bi[at]), la[at], lb[at]))
+
+    at = worth(alike, ratio_bound * TOKEN_WEIGHT)
+    if at.size:
+        _raise(score, at, TOKEN_WEIGHT * _token_sort(a, ai[at], b, bi[at]))
+    at = worth(apart & ~share, window_bound * TOKEN_WEIGHT * weight)
     if at.size:
         _, best = windows(a.sorted, ai[at], b.sorted, bi[at])
-        score[at] = np.maximum(score[at], best * TOKEN_WEIGHT * weight[at])
-    at = np.flatnonzero(alone & repeats)
+        _raise(score, at, best * TOKEN_WEIGHT * weight[at])
+    at = np.flatnonzero(apart & ~share & repeats)
     if at.size:
         _, best = windows(a.unique, ai[at], b.unique, bi[at])
-        score[at] = np.maximum(score[at], best * TOKEN_WEIGHT * weight[at])
+        _raise(score, at, best * TOKEN_WEIGHT * weight[at])
     return score
 
 
-def score_pairs(scorer, a, ai, b, bi, floor=0.0, bag=None):
+def score_pairs(scorer, a, ai, b, bi, floor=0.0, overlap=None):
     """Score pairs (a[ai], b[bi]).
 
-    Pairs scoring below ``floor`` may come back with any value below it.  ``bag`` is each
-    pair's character overlap when known; it lets hopeless terms be skipped.
+    Pairs scoring below ``floor`` may come back with any value below it.  ``overlap`` holds
+    the pairs' bounds when known; they let hopeless terms be skipped.
     """
     la, lb = a.size[ai].astype(np.int64), b.size[bi].astype(np.int64)
     if scorer == "ratio":
@@ -201,43 +243,72 @@ def score_pairs(scorer, a, ai, b, bi, floor=0.0, bag=None):
     if scorer == "token_sort_ratio":
         return _token_sort(a, ai, b, bi)
     if scorer == "token_set_ratio":
-        return _token_set(a, ai, b, bi, *_shared_tokens(a, ai, b, bi))
+        shared = _shared_tokens(a, ai, b, bi)
+        if overlap is None:
+            return _token_set(a, ai, b, bi, *shared)
+        return _token_set(a, ai, b, bi, *shared, np.broadcast_to(floor, la.shape), overlap.chars)
     if scorer == "partial_ratio":
         return windows(a.plain, ai, b.plain, bi)[1]
-    if scorer == "WRatio":
-        short, long = np.minimum(la, lb), np.maximum(la, lb)
-        apart = np.flatnonzero(2 * long >= 3 * short)
-        alike = np.flatnonzero(2 * long < 3 * short)
-        common, partial = np.zeros(len(ai), np.int64), np.zeros(len(ai))
-        common[apart], partial[apart] = windows(a.plain, ai[apart], b.plain, bi[apart])
-        common[alike] = lcs(a.plain, ai[alike], b.plain, bi[alike])
-        return _weighted(a, ai, b, bi, _ratio(common, la, lb), partial, floor, bag)
-    if scorer == "ensemble":
-        common, partial = windows(a.plain, ai, b.plain, bi)
-        goal = np.maximum(partial, floor)
-        weighted = _weighted(a, ai, b, bi, _ratio(common, la, lb), partial, goal, bag)
-        return np.maximum(weighted, partial)
+    if scorer in ("WRatio", "ensemble"):
+        if overlap is None:
+            overlap = Overlap(*[np.minimum(la, lb)] * 3)
+        return _weighted(scorer == "ensemble", a, ai, b, bi, floor, overlap)
     raise ValueError(f"unknown scorer {scorer!r}")
 
 
 # ------------------------------------------------------- bounds for all pairs of a tile
 
 
-def _unary(counts):
-    """Counts up to ``_LEVELS`` written as ones, so a dot product sums their minima."""
-    levels = np.arange(1, _LEVELS + 1, dtype=np.float32)
-    flat = (counts[:, :, None] >= levels).reshape(len(counts), -1)
-    return flat.astype(np.float32), np.maximum(counts - _LEVELS, 0).sum(axis=1)
+def _shared_counts(ca, cb, levels):
+    """Sum of the smaller counts of every pair of rows, or a little more.
+
+    Counts up to ``levels`` are written as ones, so a matrix product sums their minima.
+    """
+    used = np.flatnonzero(ca.any(axis=0) & cb.any(axis=0))
+    ca, cb = ca[:, used], cb[:, used]
+    step = np.arange(1, levels + 1, dtype=np.float32)
+    ones = [(c[:, :, None] >= step).reshape(len(c), -1) for c in (ca, cb)]
+    busy = np.flatnonzero(ones[0].any(axis=0) & ones[1].any(axis=0))
+    shared = ones[0][:, busy].astype(np.float32) @ ones[1][:, busy].astype(np.float32).T
+    rest_a, rest_b = (np.maximum(c - levels, 0).sum(axis=1) for c in (ca, cb))
+    if rest_a.any() and rest_b.any():
+        shared += np.minimum(rest_a[:, None], rest_b[None, :])
+    return shared
+
+
+class Overlap(NamedTuple):
+    """Upper bounds for every pair of a tile, or for chosen pairs.
+
+    ``chars``: shared characters.  ``whole``: LCS of the names, in any token order.
+    ``window``: LCS of the shorter name with a window no wider than itself, if the score
+    of that window is to be the best.
+    """
+
+    chars: np.ndarray
+    whole: np.ndarray
+    window: np.ndarray
+
+    def at(self, li, ri):
+        return Overlap(*(x[li, ri] for x in self))
 
 
-def char_overlap(a, b):
-    """Upper bound of the shared characters (with multiplicity) of every pair of a tile."""
-    (ua, ra), (ub, rb) = _unary(a.char_counts()), _unary(b.char_counts())
-    used = np.flatnonzero(ua.any(axis=0) & ub.any(axis=0))
-    overlap = ua[:, used] @ ub[:, used].T
-    if ra.any() and rb.any():
-        overlap += np.minimum(ra[:, None], rb[None, :])
-    return overlap
+def overlaps(a, b):
+    """Bounds from shared characters and shared neighbouring pairs of characters.
+
+    A common subsequence of L characters of two strings of m and w leaves m + w - 2L out,
+    so it breaks into at most that many runs plus one, and all neighbours within a run are
+    shared pairs: L <= (pairs + m + w + 1) / 3.  The best window leaves no hay character
+    out when w = L, which gives L <= (pairs + m + 1) / 2.  Pairs with a space depend on the
+    token order; there are at most two per space.
+    """
+    chars = _shared_counts(a.char_counts(), b.char_counts(), 8)
+    pairs = _shared_counts(a.pair_counts(), b.pair_counts(), 2)
+    la, lb = a.size[:, None].astype(np.float32), b.size[None, :].astype(np.float32)
+    spaces = [x.sorted.size - x.letters for x in (a, b)]
+    pairs += 2 * np.minimum(spaces[0][:, None], spaces[1][None, :]).astype(np.float32)
+    whole = np.minimum(chars, (pairs + la + lb + 1) / 3)
+    window = np.minimum(chars, (pairs + np.minimum(la, lb) + 1) / 2)
+    return Overlap(chars, whole, window)
 
 
 def _share_matrix(a, b):
@@ -256,27 +327,42 @@ def _share_matrix(a, b):
 
 
 def score_bounds(scorer, a, b, overlap):
-    """Upper bound of the score of every pair of a tile, from lengths, characters, tokens."""
+    """Upper bound of the score of every pair of a tile, from lengths, characters, tokens.
+
+    Also returns which pairs are settled: a shared token fixes the score of names of
+    unlike length unless their windows could score more, so it equals the bound.
+    """
     la, lb = a.size[:, None].astype(np.float32), b.size[None, :].astype(np.float32)
-    ratio = 200 * overlap / np.maximum(la + lb, 1)
+    settled = np.zeros(overlap.chars.shape, bool)
+    ratio = 200 * overlap.whole / np.maximum(la + lb, 1)
     if scorer in ("ratio", "token_sort_ratio"):
-        return ratio
+        return ratio, settled
     short = np.minimum(la, lb)
-    partial = 200 * overlap / np.maximum(short + overlap, 1)
+    partial = 200 * overlap.window / np.maximum(short + overlap.window, 1)
     if scorer == "partial_ratio":
-        return partial
-    open_set = _share_matrix(a, b) | a.repeats[:, None] | b.repeats[None, :]
+        return partial, settled
+    share = _share_matrix(a, b)
+    # Repeated tokens are dropped in token sets, which may raise the score.
+    open_set = share | a.repeats[:, None] | b.repeats[None, :]
     token_set = np.where(open_set, 100, ratio).astype(np.float32)
     if scorer == "token_set_ratio":
-        return token_set
+        return token_set, settled
     long = np.maximum(la, lb)
-    alike = 2 * long < 3 * short
-    weight = np.where(long <= FAR_LENGTH_RATIO * short, PARTIAL_WEIGHT, FAR_PARTIAL_WEIGHT)
-    weight = weight.astype(np.float32)
+    apart = 2 * long >= 3 * short
+    weight = _far_weight(short, long).astype(np.float32)
+    windows_bound = partial if scorer == "ensemble" else weight * partial
+    other = np.maximum(ratio, windows_bound)
+    token = np.where(open_set, np.float32(100 * TOKEN_WEIGHT), TOKEN_WEIGHT * partial) * weight
     near = TOKEN_WEIGHT * token_set
-    far = weight * np.maximum(partial, np.where(open_set, 100 * TOKEN_WEIGHT, 0))
-    bound = np.maximum(ratio, np.where(alike, near, far))
-    return np.maximum(bound, partial) if scorer == "ensemble" else bound
+    bound = np.maximum(other, np.where(apart, token, near))
+    settled = apart & share & (short > 0) & (other + np.float32(SLACK) < token)
+    return bound, settled
+
+
+def _first_per_row(rows, count, n_rows):
+    """Marks the first ``count`` entries of every value in the ascending array ``rows``."""
+    first = np.searchsorted(rows, np.arange(n_rows))
+    return np.arange(rows.size) - first[rows] < count
 
 
 def best_pairs(scorer, left, right, threshold, top_n):
@@ -287,12 +373,33 @@ def best_pairs(scorer, left, right, threshold, top_n):
     pairs whose bound lies below the last of them are never scored.
     """
     a, b = two_sides(left, right)
-    overlap = char_overlap(a, b)
-    bound = score_bounds(scorer, a, b, overlap) + np.float32(SLACK)
+    overlap = overlaps(a, b)
+    bound, settled = score_bounds(scorer, a, b, overlap)
     n_left, n_right = bound.shape
     cutoff = np.full(n_left, threshold, np.float64)
-    kept_l, kept_r, kept_s = (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))
-    todo = bound >= threshold
+    kept = (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))
+
+    def keep(li, ri, s):
+        nonlocal kept
+        l, r, v = (np.concatenate(x) for x in zip(kept, (li, ri, s)))
+        order = np.lexsort((r, -v, l))
+        l, r, v = l[order], r[order], v[order]
+        stay = _first_per_row(l, top_n, n_left)
+        kept = l, r, v = l[stay], r[stay], v[stay]
+        last = np.flatnonzero(~_first_per_row(l, top_n - 1, n_left))
+        cutoff[l[last]] = np.maximum(cutoff[l[last]], v[last])
+
+    if settled.any():
+        for near in (True, False):
+            within = b.size[None, :] <= FAR_LENGTH_RATIO * a.size[:, None]
+            within &= a.size[:, None] <= FAR_LENGTH_RATIO * b.size[None, :]
+            value = 100.0 * TOKEN_WEIGHT * (PARTIAL_WEIGHT if near else FAR_PARTIAL_WEIGHT)
+            if value >= threshold:
+                li, ri = np.nonzero(settled & (within if near else ~within))
+                some = _first_per_row(li, top_n, n_left)
+                keep(li[some], ri[some], np.full(int(some.sum()), value))
+    bound += np.float32(SLACK)
+    todo = ~settled & (bound >= cutoff[:, None])
     batch = max(2 * top_n, _FIRST_PAIRS // n_left)
     while True:
         if n_right > batch:
@@ -305,21 +412,10 @@ def best_pairs(scorer, left, right, threshold, top_n):
         else:
             li, ri = np.nonzero(todo)
         if not li.size:
-            break
+            return kept
         todo[li, ri] = False
-        s = score_pairs(scorer, a, li, b, ri, cutoff[li], overlap[li, ri])
+        s = score_pairs(scorer, a, li, b, ri, cutoff[li], overlap.at(li, ri))
         good = s >= cutoff[li]
-        kept_l = np.concatenate([kept_l, li[good]])
-        kept_r = np.concatenate([kept_r, ri[good]])
-        kept_s = np.concatenate([kept_s, s[good]])
-        order = np.lexsort((kept_r, -kept_s, kept_l))
-        kept_l, kept_r, kept_s = kept_l[order], kept_r[order], kept_s[order]
-        first = np.searchsorted(kept_l, np.arange(n_left))
-        place = np.arange(kept_l.size) - first[kept_l]
-        kept_l, kept_r, kept_s = (x[place < top_n] for x in (kept_l, kept_r, kept_s))
-        place = place[place < top_n]
-        full = place == top_n - 1
-        cutoff[kept_l[full]] = np.maximum(cutoff[kept_l[full]], kept_s[full])
+        keep(li[good], ri[good], s[good])
         todo &= bound >= cutoff[:, None]
         batch *= 8
-    return kept_l, kept_r, kept_s
