@@ -13,13 +13,13 @@ from dataclasses import replace
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import DataFrame, SparkSession, Window  # noqa: E402
+from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 import kindred as kd  # noqa: E402
 from checks import fixtures as fx  # noqa: E402
 from checks import oracles as sql  # noqa: E402
-from kindred.operators.rows import BLOCK, NAME, left_rows  # noqa: E402
+from kindred.operators.stage import shared_folder  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -38,7 +38,6 @@ PAGE_RELAXED = replace(
 )
 PART = replace(fx.PART, score_threshold=70.0)
 CUT = 80.0
-ALL_SCORERS = ("ratio", *kd.SCORERS)
 INDUSTRY = "industry = 'MACHINERY'"
 
 
@@ -75,48 +74,37 @@ def lei_sets(spark, d):
 # ------------------------------------------------------------------------- scorer queries
 
 
-def _name_pairs(spark, d, fixture):
-    """Distinct name pairs of the fixture that share a country."""
-    left, right, cfg = {
-        "org": (*fx.org(spark, d), ORG),
-        "page": (*fx.pages(spark, d), PAGE),
-    }[fixture]
-    names = [
-        rows.select(BLOCK, F.col(NAME).alias(alias)).distinct()
-        for rows, alias in (
-            (left_rows(left, cfg), "left_key"),
-            (kd.operators.rows.right_rows(right, cfg), "right_key"),
-        )
-    ]
-    return names[0].join(names[1], BLOCK).select("left_key", "right_key").distinct()
+SCORED = {
+    "org": (fx.org, replace(fx.ORG, score_threshold=0.0, top_n=10)),
+    "page": (fx.pages, replace(fx.PAGE, score_threshold=0.0, top_n=10)),
+}
 
 
 def _score_query(scorer, fixture):
+    """The ten best-scoring names of the same country for every name, down to score 0."""
+
     def run(spark, d):
         kd.ship(spark)
-        score = kd.score_column(scorer, F.col("left_key"), F.col("right_key"))
-        return _name_pairs(spark, d, fixture).withColumn("score", score)
+        data, cfg = SCORED[fixture]
+        return kd.name_matches(*data(spark, d), replace(cfg, scorer=scorer))
 
     return run
 
 
-def _score_sql(scorer, fixture, cfg):
-    pairs = sql.STRICT_PAIRS.replace(" where l.nk <> ''", "")
-    return (
-        f"with {sql.keyed(fixture, cfg)}, {sql.scores(pairs, [scorer])} "
-        f"select a as left_key, b as right_key, {scorer} as score from scored"
-    )
+def _score_sql(scorer, fixture):
+    cfg = SCORED[fixture][1]
+    return f"""with {sql.keyed(fixture, cfg)}, {sql.scores(sql.STRICT_PAIRS, [scorer])},
+        ln as (select distinct ck, nk from l where nk <> ''), rn as (select ck, nk, min(pos) as pos from r group by ck, nk)
+        select ln.ck as country_key, a as left_key, b as right_key, {scorer} as score
+        from ln join rn on ln.ck = rn.ck join scored on a = ln.nk and b = rn.nk
+        qualify row_number() over (partition by ln.ck, ln.nk order by {scorer} desc, rn.pos) <= {cfg.top_n}"""
 
 
 # ----------------------------------------------------------------------- pipeline queries
 
 
-def blocked_candidates(spark, d):
-    pairs = kd.candidates(*fx.org(spark, d), ORG)
-    return pairs.groupBy("country_key").agg(
-        F.count(F.lit(1)).alias("n_pairs"),
-        F.count_distinct("left_key", "right_key").alias("n_name_pairs"),
-    )
+def candidate_counts(spark, d):
+    return kd.candidate_counts(*fx.org(spark, d), ORG)
 
 
 def _match_query(fixture, cfg, then=None):
@@ -163,26 +151,20 @@ def truth_misses(spark, d):
 
 def miss_reasons(spark, d):
     kd.ship(spark)
-    return kd.miss_reasons(kd.truth_misses(*fx.org(spark, d), ORG))
+    return kd.miss_reasons(*fx.org(spark, d), ORG)
 
 
 def scorer_comparison(spark, d):
     kd.ship(spark)
-    return kd.compare_scorers(kd.truth_pairs(*fx.org(spark, d), ORG), CUT)
+    return kd.compare_scorers(kd.truth_groups(*fx.org(spark, d), ORG), CUT)
 
 
-def lei_match_flag(spark, d):
-    pairs = kd.candidates(*fx.pages(spark, d), PAGE)
-    return pairs.select(
-        "left_position", "right_position",
-        kd.lei_overlap(F.col("left_codes"), F.col("right_codes")).alias("lei_match"),
-    )
+def lei_confirmed(result):
+    return result.filter("lei_match").select("left_page_id", "right_page_id", "left_codes", "right_codes")
 
 
 def csv_roundtrip(spark, d):
     """Headquarters written as CSV, read back and matched."""
-    from kindred.operators.stage import shared_folder
-
     kd.ship(spark)
     left, right = fx.org(spark, d)
     path = shared_folder(spark, "entities-csv")
@@ -191,14 +173,8 @@ def csv_roundtrip(spark, d):
     return kd.match(left, again, ORG)
 
 
-def schema_listing(spark, d):
-    return kd.schema_of(fx.table(spark, d, "customer"))
-
-
 def match_job(spark, d):
     """The whole job on stored tables: read, link, write, summarise what was written."""
-    from kindred.operators.stage import shared_folder
-
     kd.ship(spark)
     cfg = replace(ORG, left_name_col="s_name", left_country_col="s_nationkey", left_lei_col="s_suppkey",
                   left_id_col="s_suppkey", right_name_col="c_name", right_country_col="c_nationkey",
@@ -215,9 +191,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "normalize_names": normalize_names,
         "normalize_countries": normalize_countries,
         "lei_sets": lei_sets,
-        "blocked_candidates": blocked_candidates,
+        "candidate_counts": candidate_counts,
     }
-    for scorer in ALL_SCORERS:
+    for scorer in kd.SCORERS:
         out[f"score_{scorer}_org"] = _score_query(scorer, "org")
         out[f"score_{scorer}_page"] = _score_query(scorer, "page")
     out |= {
@@ -231,7 +207,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "match_relaxed": _match_query(fx.pages_moved, PAGE_RELAXED),
         "prefiltered_match": prefiltered_match,
         "unmatched_left": unmatched_left,
-        "lei_match_flag": lei_match_flag,
+        "lei_match_flag": _match_query(fx.pages, PAGE, lei_confirmed),
         "validate_scores": _match_query(fx.org, ORG, kd.validate_lei_scores),
         "run_summary": _match_query(fx.pages_moved, PAGE_RELAXED, summary(PAGE_RELAXED)),
         "input_summary": lambda spark, d: kd.input_summary(*fx.org(spark, d), ORG),
@@ -242,14 +218,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "unique_pairs": _match_query(fx.parts, PART, lambda r: kd.unique_pairs(r, PART)),
         "preview": _match_query(fx.org, ORG, lambda r: kd.preview(r, ORG)),
         "csv_roundtrip": csv_roundtrip,
-        "schema_listing": schema_listing,
         "match_job": match_job,
     }
     return out
 
 
 def oracle_sql() -> dict[str, str]:
-    org, page = sql.keyed("org", ORG), sql.keyed("page", PAGE)
+    org = sql.keyed("org", ORG)
     ranked = lambda fixture, cfg: f"with {sql.match_rows(fixture, cfg)} "
     misses = (
         f"with {sql.match_rows('org', ORG_TRUTH)}, {sql.truth(ORG)}, "
@@ -290,12 +265,15 @@ def oracle_sql() -> dict[str, str]:
             select 'left' as side, branch_id as id, country_name as country from ({sql.ORG_LEFT})
             union all select 'right', entity_id, SP_COUNTRY_NAME from ({sql.ORG_RIGHT}))""",
         "lei_sets": f"select page_id, unnest({sql.lei_set('codes')}) as lei from ({sql.PAGES})",
-        "blocked_candidates": f"""with {org} select l.ck as country_key, count(*) as n_pairs,
-            count(distinct (l.nk, r.nk)) as n_name_pairs from l join r on l.ck = r.ck group by l.ck""",
+        "candidate_counts": f"""with {org},
+            lc as (select ck, count(*) as n, count(distinct nk) as d from l group by ck),
+            rc as (select ck, count(*) as n, count(distinct nk) as d from r group by ck)
+            select lc.ck as country_key, lc.n as left_rows, rc.n as right_rows, lc.n * rc.n as n_pairs,
+            lc.d * rc.d as n_name_pairs from lc join rc on lc.ck = rc.ck""",
     }
-    for scorer in ALL_SCORERS:
-        out[f"score_{scorer}_org"] = _score_sql(scorer, "org", ORG)
-        out[f"score_{scorer}_page"] = _score_sql(scorer, "page", PAGE)
+    for scorer in kd.SCORERS:
+        out[f"score_{scorer}_org"] = _score_sql(scorer, "org")
+        out[f"score_{scorer}_page"] = _score_sql(scorer, "page")
     out |= {
         "match_strict": sql.match_sql("org", ORG),
         "match_default_threshold": sql.match_sql("page", PAGE),
@@ -311,9 +289,9 @@ def oracle_sql() -> dict[str, str]:
         "unmatched_left": ranked("org", replace(ORG_TRUTH, score_threshold=90.0))
         + """select pos as branch_id, name as institution_name, country as country_name from l
             where not exists (select 1 from ranked where l_pos = pos)""",
-        "lei_match_flag": f"""with {page} select l.pos as left_position, r.pos as right_position,
-            len(list_intersect({sql.lei_set('l.lei')}, {sql.lei_set('r.lei')})) > 0 as lei_match
-            from l join r on l.ck = r.ck""",
+        "lei_match_flag": ranked("page", PAGE)
+        + """select left_page_id, right_page_id, l_lei as left_codes, r_lei as right_codes
+            from ranked where lei_match""",
         "validate_scores": ranked("org", ORG) + stats,
         "run_summary": ranked("moved", PAGE_RELAXED)
         + """select count(*) as n_pairs, count(*) filter (country_match) as n_strict,

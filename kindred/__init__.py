@@ -5,16 +5,17 @@ from .deploy import ship
 from .functions.scorers import score_column
 from .functions.text import country_key, lei_overlap, lei_set, name_key
 from .plans.diagnostics import (
-    compare_scorers, input_summary, miss_reasons, run_summary, truth_misses, truth_pairs,
-    validate_lei_scores,
+    compare_scorers, input_summary, miss_reasons, run_summary, truth_groups, truth_misses,
+    truth_pairs, validate_lei_scores,
 )
 from .plans.job import JobReport, run_job
-from .plans.match import candidates, match, unique_pairs
+from .plans.match import candidate_counts, match, name_matches, unique_pairs
 from .sources.tables import preview, read_table, schema_of, write_table
 
 __all__ = [
-    "SCORERS", "JobReport", "MatchConfig", "candidates", "compare_scorers", "country_key",
-    "input_summary", "lei_overlap", "lei_set", "match", "miss_reasons", "name_key", "preview",
-    "read_table", "run_job", "run_summary", "schema_of", "score_column", "ship", "truth_misses",
-    "truth_pairs", "unique_pairs", "validate_lei_scores", "write_table",
+    "SCORERS", "JobReport", "MatchConfig", "candidate_counts", "compare_scorers", "country_key",
+    "input_summary", "lei_overlap", "lei_set", "match", "miss_reasons", "name_key",
+    "name_matches", "preview", "read_table", "run_job", "run_summary", "schema_of",
+    "score_column", "ship", "truth_groups", "truth_misses", "truth_pairs", "unique_pairs",
+    "validate_lei_scores", "write_table",
 ]

@@ -9,16 +9,43 @@ from ..config import MatchConfig
 from ..functions.text import lei_overlap
 from ..operators.compare import best_names
 from ..operators.ordinal import hot_groups, with_ordinal
-from ..operators.rows import BLOCK, NAME, POSITION, distinct_names, left_rows, right_rows, top_rows
+from ..operators.rows import (
+    BLOCK, COPIES, NAME, POSITION, distinct_names, left_rows, right_rows, top_rows,
+)
 from ..operators.stage import staged
 
 
-def candidates(left: DataFrame, right: DataFrame, cfg: MatchConfig) -> DataFrame:
-    """Row pairs sharing a country key: what the strict pass has to compare."""
-    l, r = left_rows(left, cfg), right_rows(right, cfg)
-    l = l.withColumnsRenamed({NAME: "left_key", POSITION: "left_position"})
-    r = r.withColumnsRenamed({NAME: "right_key", POSITION: "right_position"})
-    return l.join(r, BLOCK).withColumnRenamed(BLOCK, "country_key")
+def candidate_counts(left: DataFrame, right: DataFrame, cfg: MatchConfig) -> DataFrame:
+    """Size of the strict pass per country: rows on both sides, row pairs, name pairs.
+
+    Counted from the sides' totals; the pairs themselves are never formed.
+    """
+
+    def side(rows, who):
+        names = distinct_names(rows)
+        return names.groupBy(BLOCK).agg(
+            F.sum(COPIES).alias(f"{who}_rows"), F.count(F.lit(1)).alias(f"_{who}_names")
+        )
+
+    both = side(left_rows(left, cfg), "left").join(side(right_rows(right, cfg), "right"), BLOCK)
+    return both.select(
+        F.col(BLOCK).alias("country_key"),
+        "left_rows",
+        "right_rows",
+        (F.col("left_rows") * F.col("right_rows")).alias("n_pairs"),
+        (F.col("_left_names") * F.col("_right_names")).alias("n_name_pairs"),
+    )
+
+
+def name_matches(left: DataFrame, right: DataFrame, cfg: MatchConfig) -> DataFrame:
+    """Best distinct right names of every distinct left name of the same country."""
+    names = [staged(distinct_names(rows)) for rows in (left_rows(left, cfg), right_rows(right, cfg))]
+    return best_names(*names, cfg).select(
+        F.col(BLOCK).alias("country_key"),
+        F.col("_left_name").alias("left_key"),
+        F.col("_right_name").alias("right_key"),
+        F.col("_score").alias("score"),
+    )
 
 
 def unmatched_names(names: DataFrame, strict: DataFrame) -> DataFrame:
