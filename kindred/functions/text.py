@@ -141,6 +141,15 @@ def _fold_rest(text: Column) -> Column:
     return F.when(text.rlike(_NON_ASCII), F.regexp_replace(rest, _NON_ASCII, "")).otherwise(text)
 
 
+def ascii_fold(text: Column) -> Column:
+    """Compatibility-decompose and keep the ASCII characters.
+
+    ASCII text passes through; accented letters cost one ``translate``; only text that
+    still holds a character folding to several is split up.
+    """
+    return _fold_rest(_fold_common(text))
+
+
 def _clean_name(text: Column) -> Column:
     text = F.translate(F.regexp_replace(text, TICKER, ""), QUOTES, "")
     return F.regexp_replace(text, _INNER_HYPHEN, " ")

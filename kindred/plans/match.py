@@ -62,8 +62,8 @@ def relaxed_names(unmatched: DataFrame, right_names: DataFrame, cfg: MatchConfig
     """
     anywhere = F.lit("").alias(BLOCK)
     names = unmatched.select(anywhere, NAME).distinct()
-    first = right_names.groupBy(NAME).agg(F.min(POSITION).alias(POSITION))
-    return best_names(names, first.select(anywhere, NAME, POSITION), cfg)
+    first = right_names.groupBy(NAME).agg(F.min(POSITION).alias(POSITION)).select(anywhere, NAME, POSITION)
+    return best_names(staged(names), staged(first), cfg)
 
 
 def _picked(names: DataFrame, right: DataFrame, keys, cfg: MatchConfig) -> DataFrame:
