@@ -1,10 +1,13 @@
 """Vectorised string comparison inside a task: one NumPy lane per pair of names.
 
-The longest-common-subsequence kernel is "seaweed braid" combing (Tiskin, "Semi-local
-string comparison", 2008): one sweep over the m x n grid gives the LCS of the whole of
-``a`` with *every* substring of ``b``, so the plain ratio and the best-window ratio of a
-pair come out of the same sweep.  Cells of an anti-diagonal are independent, hence a
-sweep is m+n-1 array operations over all lanes.
+Two kernels for the longest common subsequence (LCS):
+
+* bit vectors (Hyyro, "Bit-parallel LCS-length computation revisited", 2004) for the LCS of
+  two strings, the shorter of at most 64 characters: one step per character of the longer;
+* "seaweed braid" combing (Tiskin, "Semi-local string comparison", 2008) otherwise, and
+  wherever windows count: one sweep over the m x n grid gives the LCS of the whole of ``a``
+  with *every* substring of ``b``.  Cells of an anti-diagonal are independent, hence a
+  sweep is m+n-1 array operations over all lanes.
 """
 
 from __future__ import annotations
@@ -14,6 +17,14 @@ import numpy as np
 # Padding never equals a name character nor the other side's padding.
 PAD_A, PAD_B = 0, 1
 _LANE_BYTES = 1 << 19
+_BITS = 64
+_BIT_LANES = 1 << 14
+
+# Characters of normalised names; code 0 stands for anything else and matches nothing.
+ALPHABET = b" abcdefghijklmnopqrstuvwxyz0123456789"
+CODE = np.zeros(256, np.uint8)
+CODE[np.frombuffer(ALPHABET, np.uint8)] = np.arange(1, len(ALPHABET) + 1)
+_CODES = len(ALPHABET) + 1
 
 
 class Strands:
@@ -25,6 +36,20 @@ class Strands:
         self.start = np.zeros(len(coded), np.int64)
         np.cumsum(self.size[:-1], out=self.start[1:])
         self.flat = np.frombuffer(b"".join(coded) + b"\0", np.uint8)
+        self._masks = None
+
+    def masks(self):
+        """Per string and character code: bits of the positions holding it (first 64 only)."""
+        if self._masks is None:
+            owner = np.repeat(np.arange(self.size.size), self.size)
+            place = np.arange(owner.size) - self.start[owner]
+            code = CODE[self.flat[:-1]]
+            some = (place < _BITS) & (code > 0)
+            masks = np.zeros(self.size.size * _CODES, np.uint64)
+            at = owner[some] * _CODES + code[some]
+            np.add.at(masks, at, np.uint64(1) << place[some].astype(np.uint64))
+            self._masks = masks
+        return self._masks
 
     def gather(self, ids, width, pad, front=False):
         """Character matrix of the given strings, padded at the end or at the front."""
@@ -90,11 +115,48 @@ def _chunks(long_size, short_size, exact_short):
         start = stop
 
 
-def lcs(a: Strands, ai, b: Strands, bi):
+def _low_bits(sizes):
+    sizes = sizes.astype(np.uint64)
+    return np.where(sizes >= _BITS, ~np.uint64(0), (np.uint64(1) << (sizes % np.uint64(_BITS))) - np.uint64(1))
+
+
+def _lcs_bits(pattern, pi, text, ti, kept=None):
+    """LCS of each pair by bit vectors; patterns of at most 64 characters.
+
+    ``kept`` restricts both strings to the characters whose bits are set in its two arrays.
+    """
+    out = np.zeros(len(pi), np.int64)
+    masks = pattern.masks()
+    order = np.argsort(text.size[ti], kind="stable")
+    for start in range(0, order.size, _BIT_LANES):
+        at = order[start : start + _BIT_LANES]
+        codes = CODE[text.gather(ti[at], int(text.size[ti[at[-1]]]), PAD_B)]
+        base = pi[at].astype(np.int64) * _CODES
+        full = _low_bits(pattern.size[pi[at]])
+        state = full.copy()
+        for j, code in enumerate(codes):
+            hit = masks[base + code]
+            if kept is not None:
+                hit &= kept[0][at]
+                hit &= -((kept[1][at] >> np.uint64(j)) & np.uint64(1))
+            hit &= state
+            state = (state + hit) | (state - hit)
+        out[at] = np.bitwise_count(full & ~state)
+    return out
+
+
+def lcs(a, ai, b, bi):
     """LCS length of each pair (a[ai], b[bi])."""
     out = np.zeros(len(ai), np.int64)
     la, lb = a.size[ai], b.size[bi]
-    work = np.flatnonzero((la > 0) & (lb > 0))
+    some = (la > 0) & (lb > 0)
+    bits_a = some & (la <= lb) & (la <= _BITS)
+    bits_b = some & (lb < la) & (lb <= _BITS)
+    for who, p, pi, t, ti in ((bits_a, a, ai, b, bi), (bits_b, b, bi, a, ai)):
+        at = np.flatnonzero(who)
+        if at.size:
+            out[at] = _lcs_bits(p, pi[at], t, ti[at])
+    work = np.flatnonzero(some & ~bits_a & ~bits_b)
     for run in _chunks(lb[work], la[work], False):
         at = work[run]
         m, n = int(la[at].max()), int(lb[at].max())
@@ -103,6 +165,11 @@ def lcs(a: Strands, ai, b: Strands, bi):
     return out
 
 
+def lcs_kept(a, ai, b, bi, kept_a, kept_b):
+    """LCS of each pair counting only the characters marked by bits; at most 64 a side."""
+    return _lcs_bits(a, ai, b, bi, (kept_a, kept_b))
+
+
 def _best_ratio(common, total):
     """Column maximum of 200 * common / total."""
     quotient = common * 200.0

@@ -9,7 +9,7 @@ from typing import NamedTuple
 
 import numpy as np
 
-from .lanes import PAD_A, PAD_B, Strands, lcs, windows
+from .lanes import ALPHABET, CODE, Strands, lcs, lcs_kept, windows
 
 # Fixed values of the weighted scorer.
 TOKEN_WEIGHT = 0.95
@@ -17,15 +17,21 @@ PARTIAL_WEIGHT = 0.9
 FAR_PARTIAL_WEIGHT = 0.6
 FAR_LENGTH_RATIO = 8
 
-_ALPHABET = b" abcdefghijklmnopqrstuvwxyz0123456789"
-_CODE = np.zeros(256, np.int64)
-_CODE[np.frombuffer(_ALPHABET, np.uint8)] = np.arange(len(_ALPHABET))
+_KINDS = len(ALPHABET) + 1
+_SPACE = int(CODE[ord(" ")])
 # Pairs scored before the first look at which others still matter.
 _FIRST_PAIRS = 1 << 15
 # Bounds are kept in single precision; pairs this close to a cutoff are still scored.
 SLACK = 1e-3
 
 
+def _bit_range(start, stop):
+    """Bits start..stop-1; positions from 64 on have none."""
+    start, stop = (np.clip(x, 0, 64).astype(np.uint64) for x in (start, stop))
+    below = lambda n: np.where(n >= 64, ~np.uint64(0), (np.uint64(1) << (n % np.uint64(64))) - np.uint64(1))
+    return below(stop) & ~below(start)
+
+
 class NameSide:
     """One side of a comparison: the names as given, token-sorted, and as token sets."""
 
@@ -34,6 +40,7 @@ class NameSide:
         unique = [sorted(set(w)) for w in words]
         self.plain = Strands(names)
         self.sorted = Strands([" ".join(sorted(w)) for w in words])
+        self.words = unique
         self.unique = Strands([" ".join(u) for u in unique])
         self.size = self.plain.size
         self.letters = np.array([sum(map(len, w)) for w in words], np.int32)
@@ -46,19 +53,24 @@ class NameSide:
             for k, word in enumerate(tokens):
                 self.token[row, k] = vocabulary.setdefault(word, len(vocabulary))
                 self.token_size[row, k] = len(word)
+        # Bits of each unique token in the joined string, without and with the space before.
+        stop = np.cumsum(np.where(self.token >= 0, self.token_size + 1, 0), axis=1) - 1
+        self.token_bits = _bit_range(stop - self.token_size, stop)
+        self.token_bits_spaced = _bit_range(np.maximum(stop - self.token_size - 1, 0), stop)
 
     def char_counts(self):
-        """Occurrences of each alphabet character per name."""
+        """Occurrences of each character code per name."""
         owner = np.repeat(np.arange(self.size.size), self.size)
-        return self._count(owner, _CODE[self.plain.flat[:-1]], len(_ALPHABET))
+        return self._count(owner, CODE[self.plain.flat[:-1]], _KINDS)
 
     def pair_counts(self):
         """Occurrences of each pair of neighbouring characters inside a word, per name."""
-        code = _CODE[self.plain.flat[:-1]]
+        code = CODE[self.plain.flat[:-1]].astype(np.int64)
         owner = np.repeat(np.arange(self.size.size), self.size)
-        inside = (code[:-1] > 0) & (code[1:] > 0) & (owner[:-1] == owner[1:])
-        pairs = (code[:-1] * len(_ALPHABET) + code[1:])[inside]
-        return self._count(owner[:-1][inside], pairs, len(_ALPHABET) ** 2)
+        letter = code != _SPACE
+        inside = letter[:-1] & letter[1:] & (owner[:-1] == owner[1:])
+        pairs = (code[:-1] * _KINDS + code[1:])[inside]
+        return self._count(owner[:-1][inside], pairs, _KINDS**2)
 
     def _count(self, owner, code, kinds):
         flat = np.bincount(owner * kinds + code, minlength=self.size.size * kinds)
@@ -96,32 +108,36 @@ def _joined_size(sizes, kept):
     return np.where(kept, sizes, 0).sum(axis=1) + np.maximum(count - 1, 0), count
 
 
-class _Difference:
-    """Token sets with each pair's shared tokens blanked out; gathers like ``Strands``.
+def _rest(side, ids, shared):
+    """Bits of the unique tokens that are not shared, joined by single spaces."""
+    kept = ~shared & (side.token[ids] >= 0)
+    bits = np.where(kept, side.token_bits_spaced[ids], np.uint64(0))
+    first = np.argmax(kept, axis=1)[:, None]
+    lead = np.take_along_axis(side.token_bits[ids], first, axis=1)
+    np.put_along_axis(bits, first, np.where(kept.any(axis=1)[:, None], lead, np.uint64(0)), axis=1)
+    return np.bitwise_or.reduce(bits, axis=1)
 
-    Blanked characters become padding, which matches nothing, so the LCS equals that of
-    the tokens left over, joined by single spaces.
-    """
 
-    def __init__(self, side, ids, shared):
-        self.strands, self.ids = side.unique, ids
-        kept = ~shared & (side.token[ids] >= 0)
-        ends = np.cumsum(np.where(side.token[ids] >= 0, side.token_size[ids] + 1, 0), axis=1)
-        self.ends, self.kept, self.first = ends, kept, np.argmax(kept, axis=1)
-        self.size = side.unique.size[ids]
-
-    def gather(self, at, width, pad, front=False):
-        codes = self.strands.gather(self.ids[at], width, pad)
-        place = np.arange(width)[:, None]
-        keep = np.zeros(codes.shape, bool)
-        start = np.zeros(len(at), np.int64)
-        for k in range(self.kept.shape[1]):
-            # A token owns the space before it, except the first one kept.
-            low = start - (k > 0) + ((k > 0) & (self.first[at] == k))
-            stop = self.ends[at, k] - 1
-            keep |= self.kept[at, k] & (place >= low) & (place < stop)
-            start = self.ends[at, k]
-        return np.where(keep, codes, np.uint8(pad))
+def _rest_text(side, ids, shared):
+    """The same as strings, for names too long for bits."""
+    kept = ~shared & (side.token[ids] >= 0)
+    return Strands([" ".join(side.words[i][k] for k in np.flatnonzero(row)) for i, row in zip(ids, kept)])
+
+
+def _rest_lcs(a, ai, b, bi, shared_a, shared_b):
+    """LCS of what remains of each pair's token sets without the shared tokens."""
+    out = np.zeros(len(ai), np.int64)
+    fits = (a.unique.size[ai] <= 64) & (b.unique.size[bi] <= 64)
+    at = np.flatnonzero(fits)
+    if at.size:
+        rest_a, rest_b = _rest(a, ai[at], shared_a[at]), _rest(b, bi[at], shared_b[at])
+        out[at] = lcs_kept(a.unique, ai[at], b.unique, bi[at], rest_a, rest_b)
+    at = np.flatnonzero(~fits)
+    if at.size:
+        every = np.arange(at.size)
+        left, right = _rest_text(a, ai[at], shared_a[at]), _rest_text(b, bi[at], shared_b[at])
+        out[at] = lcs(left, every, right, every)
+    return out
 
 
 def _token_set(a, ai, b, bi, shared_a, shared_b, goal=None, bag=None):
@@ -151,9 +167,7 @@ def _token_set(a, ai, b, bi, shared_a, shared_b, goal=None, bag=None):
         alive &= 200.0 * (s + gap + most) / total + SLACK >= np.maximum(goal, out)
     at = np.flatnonzero(alive)
     if at.size:
-        every = np.arange(at.size)
-        left, right = _Difference(a, ai[at], shared_a[at]), _Difference(b, bi[at], shared_b[at])
-        common = lcs(left, every, right, every)
+        common = _rest_lcs(a, ai[at], b, bi[at], shared_a[at], shared_b[at])
         out[at] = np.maximum(out[at], 200.0 * (s[at] + gap[at] + common) / total[at])
     return out
 
@@ -170,7 +184,7 @@ def _raise(score, at, values):
     score[at] = np.maximum(score[at], values)
 
 
-def _weighted(ensemble, a, ai, b, bi, floor, overlap):
+def _weighted(ensemble, a, ai, b, bi, floor, overlap, lift):
     """Weighted scorer, or the larger of it and the partial ratio.
 
     Terms whose bound lies below ``floor`` or below the pair's other terms are skipped.
@@ -203,24 +217,26 @@ def _weighted(ensemble, a, ai, b, bi, floor, overlap):
         token = _token_set(a, ai[at], b, bi[at], shared_a[at], shared_b[at])
         _raise(score, at, TOKEN_WEIGHT * token)
 
-    if ensemble:
-        at = worth(some, np.maximum(ratio_bound, window_bound))
-    else:
-        at = worth(apart, np.maximum(ratio_bound, window_bound * weight))
+    at = worth(some, ratio_bound) if not ensemble else worth(some, np.maximum(ratio_bound, window_bound))
     if at.size:
-        common, partial = windows(a.plain, ai[at], b.plain, bi[at])
+        common = lcs(a.plain, ai[at], b.plain, bi[at])
         _raise(score, at, _ratio(common, la[at], lb[at]))
-        far = np.where(apart[at], partial * weight[at], 0.0)
-        _raise(score, at, np.maximum(far, partial) if ensemble else far)
-    if not ensemble:
-        at = worth(alike, ratio_bound)
-        if at.size:
-            _raise(score, at, _ratio(lcs(a.plain, ai[at], b.plain, bi[at]), la[at], lb[at]))
-
+        # No window shares more than the whole.
+        within = np.minimum(overlap.window[at], common)
+        window_bound[at] = 200.0 * within / np.maximum(short[at] + within, 1)
+    # Alike names have all their cheap terms by now; windows are the costly part.
     at = worth(alike, ratio_bound * TOKEN_WEIGHT)
     if at.size:
         _raise(score, at, TOKEN_WEIGHT * _token_sort(a, ai[at], b, bi[at]))
-    at = worth(apart & ~share, window_bound * TOKEN_WEIGHT * weight)
+    if lift is not None:
+        floor = lift(score)
+    own = np.ones(len(ai)) if ensemble else weight
+    at = worth(some if ensemble else apart, window_bound * own)
+    if at.size:
+        _, partial = windows(a.plain, ai[at], b.plain, bi[at])
+        _raise(score, at, partial * own[at])
+    sorted_bound = 200.0 * overlap.window / np.maximum(short + overlap.window, 1)
+    at = worth(apart & ~share, sorted_bound * TOKEN_WEIGHT * weight)
     if at.size:
         _, best = windows(a.sorted, ai[at], b.sorted, bi[at])
         _raise(score, at, best * TOKEN_WEIGHT * weight[at])
@@ -231,11 +247,12 @@ def _weighted(ensemble, a, ai, b, bi, floor, overlap):
     return score
 
 
-def score_pairs(scorer, a, ai, b, bi, floor=0.0, overlap=None):
+def score_pairs(scorer, a, ai, b, bi, floor=0.0, overlap=None, lift=None):
     """Score pairs (a[ai], b[bi]).
 
     Pairs scoring below ``floor`` may come back with any value below it.  ``overlap`` holds
-    the pairs' bounds when known; they let hopeless terms be skipped.
+    the pairs' bounds when known; they let hopeless terms be skipped.  ``lift`` may turn
+    the scores known so far, never above the final ones, into a higher floor.
     """
     la, lb = a.size[ai].astype(np.int64), b.size[bi].astype(np.int64)
     if scorer == "ratio":
@@ -252,7 +269,7 @@ def score_pairs(scorer, a, ai, b, bi, floor=0.0, overlap=None):
     if scorer in ("WRatio", "ensemble"):
         if overlap is None:
             overlap = Overlap(*[np.minimum(la, lb)] * 3)
-        return _weighted(scorer == "ensemble", a, ai, b, bi, floor, overlap)
+        return _weighted(scorer == "ensemble", a, ai, b, bi, floor, overlap, lift)
     raise ValueError(f"unknown scorer {scorer!r}")
 
 
@@ -414,7 +431,17 @@ def best_pairs(scorer, left, right, threshold, top_n):
         if not li.size:
             return kept
         todo[li, ri] = False
-        s = score_pairs(scorer, a, li, b, ri, cutoff[li], overlap.at(li, ri))
+
+        def lift(s, li=li):
+            # A left name's top_n-th score so far: its last kept one can only be higher.
+            order = np.lexsort((-s, li))
+            last = np.searchsorted(li, np.arange(n_left)) + top_n - 1
+            full = last < np.searchsorted(li, np.arange(n_left), "right")
+            floor = cutoff.copy()
+            floor[full] = np.maximum(floor[full], s[order[last[full]]])
+            return floor[li]
+
+        s = score_pairs(scorer, a, li, b, ri, cutoff[li], overlap.at(li, ri), lift)
         good = s >= cutoff[li]
         keep(li[good], ri[good], s[good])
         todo &= bound >= cutoff[:, None]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,6 +12,8 @@ from ..functions.scoring import best_pairs
 from .rows import BLOCK, NAME, POSITION, top_rows
 
 TILE = [BLOCK, "_left_tile", "_right_tile"]
+TILES_PER_TASK = 4
+SMALLEST_TILE = 1 << 15
 
 
 def _shuffle_width(df: DataFrame) -> int:
@@ -17,14 +21,20 @@ def _shuffle_width(df: DataFrame) -> int:
 
 
 def tiles(left: DataFrame, right: DataFrame, left_rows: int, right_rows: int):
-    """Cut every block into tiles of about ``left_rows`` x ``right_rows`` names.
+    """Cut every block into tiles of at most about ``left_rows`` x ``right_rows`` names.
 
     A block of any size becomes many equal tasks: each side is split by a hash of the name
-    and copied once per tile of the other side.  Blocks on one side only drop out.
+    and copied once per tile of the other side.  Blocks on one side only drop out.  Where
+    there are too few pairs to fill the tasks with full tiles, tiles are made smaller.
     """
+    width = _shuffle_width(left)
     sizes = left.groupBy(BLOCK).agg(F.count(F.lit(1)).alias("_n_left")).join(
         right.groupBy(BLOCK).agg(F.count(F.lit(1)).alias("_n_right")), BLOCK
     )
+    pairs = sizes.agg(F.sum(F.col("_n_left").cast("double") * F.col("_n_right"))).first()[0] or 0
+    tile_pairs = max(SMALLEST_TILE, pairs / (TILES_PER_TASK * width))
+    right_rows = min(right_rows, math.ceil(2 * math.sqrt(tile_pairs)))
+    left_rows = min(left_rows, math.ceil(tile_pairs / right_rows))
     sizes = sizes.select(
         BLOCK,
         F.ceil(F.col("_n_left") / left_rows).alias("_left_tiles"),
@@ -42,7 +52,7 @@ def tiles(left: DataFrame, right: DataFrame, left_rows: int, right_rows: int):
             .drop("_left_tiles", "_right_tiles")
             # A fixed width: tiles are small in bytes but long in work, so the adaptive
             # merging of small partitions must leave them apart.
-            .repartition(_shuffle_width(names), *TILE)
+            .repartition(width, *TILE)
         )
 
     return cut(left, "left", "right"), cut(right, "right", "left")
