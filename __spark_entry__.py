@@ -56,14 +56,14 @@ def normalize_names(spark, d):
     orgs = left.select(F.lit("branch"), "branch_id", "institution_name").union(
         right.select(F.lit("entity"), "entity_id", "SP_ENTITY_NAME")
     )
-    return docs.union(orgs).select("kind", "id", kd.name_key(F.col("text")).alias("name_key"))
+    return kd.normalise(docs.union(orgs), "text", None).withColumnRenamed("text", "name_key")
 
 
 def normalize_countries(spark, d):
     left, right = fx.org(spark, d)
     both = left.select(F.lit("left").alias("side"), F.col("branch_id").alias("id"), F.col("country_name").alias("country"))
     both = both.union(right.select(F.lit("right"), "entity_id", "SP_COUNTRY_NAME"))
-    return both.select("side", "id", "country", kd.country_key(F.col("country")).alias("country_key"))
+    return kd.normalise(both.withColumn("country_key", F.col("country")), None, "country_key")
 
 
 def lei_sets(spark, d):

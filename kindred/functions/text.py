@@ -5,6 +5,7 @@ from __future__ import annotations
 import sys
 import unicodedata
 from functools import lru_cache, reduce
+from itertools import zip_longest
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -78,10 +79,11 @@ QUOTES = "«»„\"‘’“”"
 # Stock-exchange ticker in brackets with the white space before it.
 TICKER = r"(?U)[\s\x1c-\x1f]*\([A-Z]{1,6}:[A-Z0-9.]+\)"
 
-# A hyphen between two letters, digits or underscores of any script.
-_INNER_HYPHEN = r"(?<=[\p{L}\p{N}_])-(?=[\p{L}\p{N}_])"
+# A hyphen between two letters, digits or underscores of any script.  The hyphen comes first
+# in the pattern, so that the search can skip to it.
+_INNER_HYPHEN = r"-(?<=[\p{L}\p{N}_]-)(?=[\p{L}\p{N}_])"
 _EDGE_SPACE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
-_NON_ASCII = r"[^\x00-\x7F]"
+_NON_ASCII = r"[^\x00-\x7F]+"
 
 
 @lru_cache(maxsize=1)
@@ -121,10 +123,14 @@ def _table(pairs: dict[str, str]) -> Column:
     return F.str_to_map(F.lit(text), F.lit("\x01"), F.lit("\x02"))
 
 
+def _ascii(text: Column) -> Column:
+    return F.length(text) == F.octet_length(text)
+
+
 def _fold_common(text: Column) -> Column:
     single, _ = ascii_folds()
     folded = F.translate(text, "".join(single), "".join(single.values()))
-    return F.when(text.rlike(_NON_ASCII), folded).otherwise(text)
+    return F.when(_ascii(text), text).otherwise(folded)
 
 
 def _fold_rest(text: Column) -> Column:
@@ -137,8 +143,10 @@ def _fold_rest(text: Column) -> Column:
         ),
         "",
     )
-    rest = F.when(text.rlike(_class_of(several)), spelled).otherwise(text)
-    return F.when(text.rlike(_NON_ASCII), F.regexp_replace(rest, _NON_ASCII, "")).otherwise(text)
+    # The large character class only sees the few characters still to fold.
+    foreign = F.regexp_replace(text, r"[\x00-\x7F]+", "")
+    rest = F.when(foreign.rlike(_class_of(several)), spelled).otherwise(text)
+    return F.when(_ascii(text), text).otherwise(F.regexp_replace(rest, _NON_ASCII, ""))
 
 
 def ascii_fold(text: Column) -> Column:
@@ -150,17 +158,38 @@ def ascii_fold(text: Column) -> Column:
     return _fold_rest(_fold_common(text))
 
 
-def _clean_name(text: Column) -> Column:
-    text = F.translate(F.regexp_replace(text, TICKER, ""), QUOTES, "")
-    return F.regexp_replace(text, _INNER_HYPHEN, " ")
+# Plain substring searches keep most names away from the regular expressions below.
+
+
+def _drop_tickers(text: Column) -> Column:
+    return F.when(F.contains(text, F.lit("(")), F.regexp_replace(text, TICKER, "")).otherwise(text)
+
+
+def _drop_quotes(text: Column) -> Column:
+    quoted = F.contains(text, F.lit('"')) | ~_ascii(text)
+    return F.when(quoted, F.regexp_replace(text, f"[{QUOTES}]", "")).otherwise(text)
+
+
+def _split_hyphens(text: Column) -> Column:
+    return F.when(F.contains(text, F.lit("-")), F.regexp_replace(text, _INNER_HYPHEN, " ")).otherwise(text)
 
 
 def _shorten_forms(text: Column) -> Column:
-    shortened = text
-    for phrase, short in LEGAL_FORMS:
-        shortened = F.regexp_replace(shortened, rf"\b{phrase}\b", short)
+    """Replace the legal forms.
+
+    One scan marks them and a lookup replaces them.  That equals applying the rules one
+    after the other: the only forms that can overlap ("open joint stock" and "joint stock
+    company", and the like) are also ordered so that the one starting first wins, and no
+    short form is part of a long one.
+    """
     any_form = r"\b(" + "|".join(phrase for phrase, _ in LEGAL_FORMS) + r")\b"
-    return F.when(text.rlike(any_form), shortened).otherwise(text)
+    table = _table(dict(LEGAL_FORMS))
+    pieces = F.split(F.regexp_replace(text, any_form, "\x01$1\x01"), "\x01")
+    shortened = F.array_join(F.transform(pieces, lambda p: F.coalesce(F.try_element_at(table, p), p)), "")
+    # Every form holds one of these words.
+    marks = dict.fromkeys(max(phrase.split(), key=len) for phrase, _ in LEGAL_FORMS)
+    some = reduce(lambda x, y: x | y, [F.contains(text, F.lit(mark)) for mark in marks])
+    return F.when(some, shortened).otherwise(text)
 
 
 def _words_only(text: Column) -> Column:
@@ -176,7 +205,9 @@ def _canonical(key: Column) -> Column:
 # The steps of either normalisation.  As separate projections every step is computed once
 # per row; nested into one expression, those used several times would be repeated.
 _NAME_STEPS = [
-    lambda c: _clean_name(F.coalesce(c.cast("string"), F.lit(""))),
+    lambda c: _drop_tickers(F.coalesce(c.cast("string"), F.lit(""))),
+    _drop_quotes,
+    _split_hyphens,
     _fold_common,
     _fold_rest,
     F.lower,
@@ -193,20 +224,33 @@ _COUNTRY_STEPS = [
 ]
 
 
+def _chain(steps, text: Column) -> Column:
+    """All steps as one expression, each bound to a variable so that none is repeated."""
+    for step in steps:
+        text = F.element_at(F.transform(F.array(text), step), 1)
+    return text
+
+
 def name_key(name: Column) -> Column:
-    """Comparable form of an organisation name: lower-case ASCII words, short legal forms."""
-    return reduce(lambda c, step: step(c), _NAME_STEPS, name)
+    """Comparable form of an organisation name: lower-case ASCII words, short legal forms.
+
+    For one-off use; ``normalise`` does the same faster, in generated code.
+    """
+    return _chain(_NAME_STEPS, name)
 
 
 def country_key(country: Column) -> Column:
     """Canonical blocking key of a country name; missing countries share the key ''."""
-    return reduce(lambda c, step: step(c), _COUNTRY_STEPS, country)
+    return _chain(_COUNTRY_STEPS, country)
 
 
-def normalise(df: DataFrame, name: str, country: str) -> DataFrame:
-    """Replace a name and a country column by their keys, step by step."""
-    for name_step, country_step in zip(_NAME_STEPS, _COUNTRY_STEPS):
-        df = df.withColumns({name: name_step(F.col(name)), country: country_step(F.col(country))})
+def normalise(df: DataFrame, name: str | None, country: str | None) -> DataFrame:
+    """Replace a name and a country column (either may be None) by their keys, step by step."""
+    for steps in zip_longest(_NAME_STEPS, _COUNTRY_STEPS):
+        pairs = [(c, step) for c, step in zip((name, country), steps) if c and step]
+        if not pairs:
+            break
+        df = df.withColumns({c: step(F.col(c)) for c, step in pairs})
     return df
 
 

@@ -1,3 +1,5 @@
+import random
+import re
 import sys
 import unicodedata
 
@@ -5,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from kindred import country_key, lei_overlap, lei_set, name_key
-from kindred.functions.text import COUNTRY_ALIASES, LEGAL_FORMS, ascii_fold, normalise
+from kindred.functions.text import COUNTRY_ALIASES, LEGAL_FORMS, _shorten_forms, _words_only, ascii_fold, normalise
 
 NAMES = {
     "SpareBank 1 Nord-Norge (OB:NONG)": "sparebank 1 nord norge",
@@ -76,6 +78,21 @@ def test_legal_forms_apply_in_order(spark):
     assert got == want
 
 
+def test_overlapping_forms(spark):
+    """The single scan equals applying the rules in order, whatever words meet."""
+    rng = random.Random(4)
+    words = sorted({w for phrase, _ in LEGAL_FORMS for w in phrase.split()} | {"x"})
+    texts = [" ".join(rng.choice(LEGAL_FORMS)[0] if rng.random() < 0.4 else rng.choice(words) for _ in range(6)) for _ in range(3000)]
+
+    def in_order(text):
+        for phrase, short in LEGAL_FORMS:
+            text = re.sub(rf"\b{phrase}\b", short, text)
+        return text.replace("-", " ")
+
+    got = [r[0] for r in column_of(spark, texts).select(_words_only(_shorten_forms(F.col("v")))).collect()]
+    assert got == [in_order(t) for t in texts]
+
+
 def test_countries(spark):
     got = column_of(spark, COUNTRIES).select(country_key(F.col("v"))).collect()
     assert [r[0] for r in got] == list(COUNTRIES.values())
