@@ -19,6 +19,10 @@ FAR_LENGTH_RATIO = 8
 
 _KINDS = len(ALPHABET) + 1
 _SPACE = int(CODE[ord(" ")])
+# Token matrices are padded to the longest name: their most cells, and the most token
+# comparisons of a pair that are made one by one.
+_TOKEN_CELLS = 1 << 20
+_FEW_TOKENS = 1 << 12
 # Pairs scored before the first look at which others still matter.
 _FIRST_PAIRS = 1 << 15
 # Bounds are kept in single precision; pairs this close to a cutoff are still scored.
@@ -95,6 +99,11 @@ def _shared_tokens(a, ai, b, bi):
     ta, tb = a.token[ai], b.token[bi]
     hit_a = np.zeros(ta.shape, bool)
     hit_b = np.zeros(tb.shape, bool)
+    if ta.shape[1] * tb.shape[1] > _FEW_TOKENS:  # texts rather than names
+        for row in range(len(ai)):
+            hit_a[row] = np.isin(ta[row], tb[row]) & (ta[row] >= 0)
+            hit_b[row] = np.isin(tb[row], ta[row]) & (tb[row] >= 0)
+        return hit_a, hit_b
     for k in range(tb.shape[1]):
         same = (ta == tb[:, k, None]) & (ta >= 0)
         hit_a |= same
@@ -382,10 +391,44 @@ def _first_per_row(rows, count, n_rows):
     return np.arange(rows.size) - first[rows] < count
 
 
+def _runs(names):
+    """Indices of the names, split where padding to the longest would cost too much."""
+    tokens = np.array([n.count(" ") + 1 for n in names])
+    if tokens.size * tokens.max() <= _TOKEN_CELLS:
+        return [np.arange(tokens.size)]
+    runs, start = [], 0
+    order = np.argsort(tokens, kind="stable")
+    for stop in range(1, order.size + 1):
+        if stop == order.size or (stop - start + 1) * tokens[order[stop]] > _TOKEN_CELLS:
+            runs.append(np.sort(order[start:stop]))
+            start = stop
+    return runs
+
+
 def best_pairs(scorer, left, right, threshold, top_n):
     """Each left name's ``top_n`` best right names scoring at least ``threshold``.
 
     Ties go to the right name listed first.  Returns (left index, right index, score).
+    """
+    found = []
+    right_runs = _runs(right)
+    for li in _runs(left):
+        for ri in right_runs:
+            names = [left[i] for i in li], [right[i] for i in ri]
+            l, r, s = _best_pairs(scorer, *names, threshold, top_n)
+            found.append((li[l], ri[r], s))
+    if len(found) == 1:
+        return found[0]
+    l, r, s = (np.concatenate(x) for x in zip(*found))
+    order = np.lexsort((r, -s, l))
+    l, r, s = l[order], r[order], s[order]
+    stay = _first_per_row(l, top_n, len(left))
+    return l[stay], r[stay], s[stay]
+
+
+def _best_pairs(scorer, left, right, threshold, top_n):
+    """``best_pairs`` of one run of names per side.
+
     Pairs are scored in the order of their bounds; once a left name has ``top_n`` scores,
     pairs whose bound lies below the last of them are never scored.
     """

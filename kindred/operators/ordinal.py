@@ -12,6 +12,7 @@ from .rows import BLOCK, COPIES, LAST, NAME, POSITION
 
 HOT_ROWS = 1_000_000
 SLICE_ROWS = 250_000
+BROADCAST_ROWS = 100_000
 
 
 def _shared_prefix(low: Column, high: Column) -> Column:
@@ -27,15 +28,23 @@ def _measure(position: Column, prefix: Column) -> Column:
     return F.conv(F.rpad(F.hex(part), 12, "0"), 16, 10).cast("double")
 
 
-def hot_groups(names: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Names with more than ``hot_rows`` rows: at most (all rows) / ``hot_rows`` of them."""
-    return names.filter(F.col(COPIES) > hot_rows).select(
+def hot_groups(names: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame | None:
+    """Names with more than ``hot_rows`` rows, or None; ``names`` should be staged.
+
+    At most (all rows) / ``hot_rows`` can exist; they are counted here, and broadcast only
+    if they are few.
+    """
+    hot = names.filter(F.col(COPIES) > hot_rows).select(
         BLOCK,
         NAME,
         F.col(COPIES).alias("_all"),
         F.col(POSITION).alias("_low"),
         F.col(LAST).alias("_high"),
     )
+    count = hot.count()
+    if not count:
+        return None
+    return F.broadcast(hot) if count <= BROADCAST_ROWS else hot
 
 
 def _sliced(rows: DataFrame, hot: DataFrame, slice_rows: int) -> DataFrame:
@@ -49,7 +58,7 @@ def _sliced(rows: DataFrame, hot: DataFrame, slice_rows: int) -> DataFrame:
     slices = F.ceil(F.col("_all") / slice_rows)
     share = (value(POSITION) - value("_low")) / F.greatest(value("_high") - value("_low"), F.lit(1.0))
     number = F.greatest(F.lit(0), F.least(slices - 1, F.floor(share * slices)))
-    marked = rows.join(F.broadcast(hot), [BLOCK, NAME], "left")
+    marked = rows.join(hot, [BLOCK, NAME], "left")
     return marked.withColumn("_slice", F.coalesce(number, F.lit(-1).cast("bigint"))).drop(
         "_all", "_low", "_high", "_prefix"
     )
@@ -61,8 +70,7 @@ def with_ordinal(rows: DataFrame, keys, hot: DataFrame | None, slice_rows: int =
     ``keys`` must determine block and name.  Groups inside a hot name are cut into slices
     along the position, interpolated between the name's first and last; slices are
     numbered apart and shifted by the sizes of those before them, so no task ever holds
-    such a group.  Hot names and slice sizes are broadcast, as their number is bounded by
-    rows / HOT_ROWS and by about rows / ``slice_rows`` per distinct key of a hot name.
+    such a group.
     """
     if hot is None:
         group = Window.partitionBy(*keys)
@@ -88,7 +96,7 @@ def with_ordinal(rows: DataFrame, keys, hot: DataFrame | None, slice_rows: int =
     own = {k: f"_key_{i}" for i, k in enumerate([*keys, "_slice"])}
     shift = shift.withColumnsRenamed(own)
     same = reduce(lambda x, y: x & y, [F.col(f"`{k}`").eqNullSafe(F.col(v)) for k, v in own.items()])
-    joined = numbered.join(F.broadcast(shift), same, "left")
+    joined = numbered.join(shift, same, "left")
     return (
         joined.withColumn("_ordinal", F.col("_local") + F.coalesce("_shift", F.lit(0)))
         .withColumn("_group", F.coalesce("_all", "_here"))

@@ -126,8 +126,7 @@ def match(
         found = found.unionByName(wide)
 
     name, country = f"left_{cfg.left_name_col}", f"left_{cfg.left_country_col}"
-    hot = hot_groups(left_names)
-    rows = with_ordinal(l, [name, country], None if hot.isEmpty() else hot)
+    rows = with_ordinal(l, [name, country], hot_groups(left_names))
     # Copies of a left row share their matches, so the rank among all of them has a closed
     # form: everything scored higher, then equal scores of earlier copies, then own order.
     rank = F.col("_group") * F.col("_above") + (F.col("_ordinal") - 1) * F.col("_alike") + F.col("_among")

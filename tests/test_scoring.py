@@ -80,3 +80,19 @@ def test_best_pairs_equal_brute_force(scorer, threshold, top_n):
     for i in want:
         assert [j for j, _ in got[i]] == [j for j, _ in want[i]]
         assert np.allclose([x for _, x in got[i]], [x for _, x in want[i]], atol=1e-9)
+
+
+@pytest.mark.parametrize("scorer", ["ensemble", "token_set_ratio"])
+def test_texts_among_names(scorer, monkeypatch):
+    """Splitting uneven names into runs, and matching tokens pair by pair, change nothing."""
+    from kindred.functions import scoring
+
+    rng = random.Random(9)
+    left, right = names(rng, 20)[1:], names(rng, 50)
+    left.append(" ".join(rng.choice(WORDS) for _ in range(40)))
+    right.append(" ".join(rng.choice(WORDS) for _ in range(45)))
+    want = best_pairs(scorer, left, right, 40, 4)
+    monkeypatch.setattr(scoring, "_TOKEN_CELLS", 60)
+    monkeypatch.setattr(scoring, "_FEW_TOKENS", 2)
+    got = best_pairs(scorer, left, right, 40, 4)
+    assert all(np.array_equal(x, y) for x, y in zip(want, got))
