@@ -6,6 +6,7 @@ import sys
 import unicodedata
 from functools import lru_cache, reduce
 from itertools import zip_longest
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -244,13 +245,21 @@ def country_key(country: Column) -> Column:
     return _chain(_COUNTRY_STEPS, country)
 
 
+# Built step expressions per session and column: building them takes longer than small jobs.
+_built: WeakKeyDictionary = WeakKeyDictionary()
+
+
 def normalise(df: DataFrame, name: str | None, country: str | None) -> DataFrame:
     """Replace a name and a country column (either may be None) by their keys, step by step."""
+    built = _built.setdefault(df.sparkSession, {})
     for steps in zip_longest(_NAME_STEPS, _COUNTRY_STEPS):
         pairs = [(c, step) for c, step in zip((name, country), steps) if c and step]
         if not pairs:
             break
-        df = df.withColumns({c: step(F.col(c)) for c, step in pairs})
+        for pair in pairs:
+            if pair not in built:
+                built[pair] = pair[1](F.col(pair[0]))
+        df = df.withColumns({pair[0]: built[pair] for pair in pairs})
     return df
 
 
