@@ -21,6 +21,12 @@ from checks import fixtures as fx  # noqa: E402
 from checks import oracles as sql  # noqa: E402
 from kindred.operators.stage import shared_folder  # noqa: E402
 
+try:
+    import corpus_pipeline
+    from kindred.llm import queries as llm
+except ImportError:  # the subpackage is optional
+    llm = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 # The configurations the queries run with.
@@ -220,6 +226,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "csv_roundtrip": csv_roundtrip,
         "match_job": match_job,
     }
+    if llm:
+        out |= llm.queries() | {"pipeline": corpus_pipeline.run}
     return out
 
 
@@ -321,6 +329,10 @@ def oracle_sql() -> dict[str, str]:
     out["match_job"] = ranked("job", job).replace("s_suppkey as lei", "null::varchar as lei").replace(
         "c_custkey as lei", "c_custkey::varchar as lei"
     ) + stats
+    if llm:
+        out |= llm.oracle_sql()
+        if corpus_pipeline.ORACLE_SQL:
+            out["pipeline"] = corpus_pipeline.ORACLE_SQL
     return out
 
 
