@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from ..deploy import ship
-from . import bpe, bwt_merge, decontaminate, ngram_join, substrings, toxicity
+from . import bpe, bwt_merge, chat, decontaminate, graph_ann, licences, ngram_join, quality, substrings, toxicity
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -30,6 +30,14 @@ def op1_bpe(spark, d):
     return bpe.encode_digests(table(spark, d, "documents"), TOKENIZER)
 
 
+def op2_quality(spark, d):
+    ship(spark)
+    docs = table(spark, d, "documents")
+    trees = quality.train(docs, table(spark, d, "labels"), lambda doc_id: remainder(doc_id, 5) != 0)
+    held_out = (remainder(F.col("doc_id"), 5) == 0).alias("held_out")
+    return quality.score(docs, trees).select("doc_id", held_out, "score", "predicted")
+
+
 def op3_ngram_join(spark, d):
     ship(spark)
     return ngram_join.join(table(spark, d, "documents"))
@@ -50,6 +58,21 @@ def op6_suffix_dedup(spark, d):
     return bwt_merge.remove_repeated_bytes(table(spark, d, "documents"))
 
 
+def op7_nearest_vectors(spark, d):
+    ship(spark)
+    vectors = table(spark, d, "embeddings")
+    return graph_ann.nearest(vectors, vectors.filter("vec_id % 100 = 0"))
+
+
+def op8_licence_scan(spark, d):
+    ship(spark)
+    return licences.scan(table(spark, d, "documents"))
+
+
+def op9_chat_format(spark, d):
+    return chat.render(table(spark, d, "conversations"))
+
+
 def op10_toxicity(spark, d):
     ship(spark)
     scored = toxicity.score(table(spark, d, "documents"), table(spark, d, "labels"), toxicity_rows)
@@ -61,13 +84,17 @@ def op10_toxicity(spark, d):
 def queries():
     return {
         "op1_bpe": op1_bpe,
+        "op2_quality": op2_quality,
         "op3_ngram_join": op3_ngram_join,
         "op4_substring_dedup": op4_substring_dedup,
         "op5_decontamination": op5_decontamination,
         "op6_suffix_dedup": op6_suffix_dedup,
+        "op7_nearest_vectors": op7_nearest_vectors,
+        "op8_licence_scan": op8_licence_scan,
+        "op9_chat_format": op9_chat_format,
         "op10_toxicity": op10_toxicity,
     }
 
 
 def oracle_sql():
-    return {}
+    return {"op9_chat_format": chat.SQL}
