@@ -102,3 +102,50 @@ def leaks(docs, items, window):
                     own |= phrases[x]
         out.append((d, len(w), len(hit), len(own), sha(",".join(sorted(own))), bool(hit)))
     return out
+
+
+def window_counts(docs, window):
+    seen = defaultdict(int)
+    for _, t in docs:
+        w = SPACES.findall(t or "")
+        for i in range(len(w) - window + 1):
+            seen[tuple(w[i : i + window])] += 1
+    return seen
+
+
+def cut(text, spans, gone):
+    """The text without the runs of removed words."""
+    out, at, i = [], 0, 0
+    while i < len(spans):
+        if i in gone:
+            out.append(text[at : spans[i][0]])
+            while i < len(spans) and i in gone:
+                at = spans[i][1]
+                i += 1
+        else:
+            i += 1
+    return "".join(out) + text[at:]
+
+
+def without_repeats(text, seen, window):
+    found = list(SPACES.finditer(text or ""))
+    gone = set()
+    for i in range(len(found) - window + 1):
+        if seen[tuple(m.group() for m in found[i : i + window])] > 1:
+            gone.update(range(i, i + window))
+    return cut(text or "", [m.span() for m in found], gone)
+
+
+def without_leaks(text, items, window):
+    phrases = set()
+    for _, t in items:
+        w = LETTERS.findall((t or "").translate(LOWER))
+        for i in range(max(len(w) - window, 0) + 1) if w else ():
+            phrases.add(tuple(w[i : i + window]))
+    found = list(LETTERS.finditer(text.translate(LOWER)))
+    gone = set()
+    for k in {len(p) for p in phrases}:
+        for i in range(len(found) - k + 1):
+            if tuple(m.group() for m in found[i : i + k]) in phrases:
+                gone.update(range(i, i + k))
+    return cut(text, [m.span() for m in found], gone)
