@@ -14,8 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-PACK_BYTES = 8 << 20
-BUCKET_BYTES = 16 << 20
+PACK_BYTES = 4 << 20
+BUCKET_BYTES = 8 << 20
 SENT = "pack long, bucket long, keys binary, counts binary"
 ANSWER = "pack long, bucket long, codes binary"
 _SENT = pa.schema([("pack", pa.int64()), ("bucket", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())])
