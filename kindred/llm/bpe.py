@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 CHUNK = 1 << 12  # symbols of one piece that the encoder takes in at once
 TEXT_CHUNK = 1 << 16  # characters of a text that are normalised at once
-CACHED = 1 << 18  # pieces whose tokens a Python worker remembers; then it forgets all of them
+CACHED = 1 << 16  # entries of each half of a Python worker's two memories, some 20 MB a half (pieces: twice that)
 LONGEST_CACHED = 64
 _SPACE = regex.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 OUT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -79,6 +79,7 @@ class Model:
         symbols = lambda t: mark(t)[:-2] + chr(0x10000 + ord(mark(t)[-2])) if mark(t).endswith("\0") else t
         self.reach = lookahead([(symbols(a), symbols(b)) for a, b in merges])
         self.tokens = {i: t for t, i in self.vocab.items()}
+        self.names = {i: str(i) for i in self.tokens}
         self.special = {t["content"]: t["id"] for t in data["added_tokens"]}
         self.tokens |= {i: t for t, i in self.special.items()}
         self.special_pattern = regex.compile("|".join(map(regex.escape, self.special))) if self.special else None
@@ -123,7 +124,7 @@ class PieceEncoder:
         self.buffer = ""
 
     def feed(self, symbols: str) -> list[str]:
-        self.buffer += symbols
+        self.buffer = self.buffer + symbols if self.buffer else symbols
         # the newest symbol may be the word's last and is held back
         stable = len(self.buffer) - 1 - self.model.reach
         if stable < CHUNK:
@@ -204,37 +205,49 @@ class Encoder:
 
     def __init__(self, model: Model):
         self.model = model
+        self.decoder = Decoder(model)
+        # the newer and the older half of what is remembered, of stretches and of pieces
         self.known: dict[str, tuple[str, int, str]] = {}
+        self.before: dict[str, tuple[str, int, str]] = {}
         self.pieces: dict[str, tuple[str, int, str]] = {}
+        self.pieces_before: dict[str, tuple[str, int, str]] = {}
+
+    def forget(self) -> None:
+        """Give the memory back; workers live on after a task and serve other stages."""
+        self.known, self.before, self.pieces, self.pieces_before = {}, {}, {}, {}
 
     def _made(self, piece: str) -> tuple[str, int, str]:
         """Joined ids, their number and the joined decoded tokens of a piece."""
-        symbols = self.model.spell(piece)
-        encoder = PieceEncoder(self.model)
-        tokens: list[str] = []
-        for i in range(0, len(symbols), CHUNK):
-            tokens += encoder.feed(symbols[i : i + CHUNK])
-        tokens += encoder.close()
-        ids = list(map(self.model.vocab.__getitem__, tokens))
-        found = (" ".join(map(str, ids)), len(ids), Decoder(self.model).text(ids))
+        found = self.pieces_before.get(piece)
+        if found is None:
+            symbols = self.model.spell(piece)
+            encoder = PieceEncoder(self.model)
+            tokens: list[str] = []
+            for i in range(0, len(symbols), CHUNK):
+                tokens += encoder.feed(symbols[i : i + CHUNK])
+            tokens += encoder.close()
+            ids = [self.model.vocab[t] for t in tokens]
+            found = (" ".join([self.model.names[i] for i in ids]), len(ids), self.decoder.text(ids))
         if len(piece) <= LONGEST_CACHED:
-            if len(self.pieces) >= CACHED:
-                self.pieces.clear()
+            if len(self.pieces) >= 2 * CACHED:
+                self.pieces, self.pieces_before = {}, self.pieces
             self.pieces[piece] = found
         return found
 
     def look_up(self, stretch: str) -> tuple[str, int, str]:
         """The same for a stretch without white space or special tokens."""
-        known, made = self.pieces.get, self._made
-        parts = [known(p) or made(p) for p in self.model.pieces.findall(self.model.normalise(stretch))]
-        if len(parts) == 1:
-            found = parts[0]
-        else:
-            ids, n, tokens = zip(*parts) if parts else ((), (), ())
-            found = (" ".join(ids), sum(n), " ".join(tokens))
+        found = self.before.get(stretch)
+        if found is None:
+            known, made = self.pieces.get, self._made
+            parts = [known(p) or made(p) for p in self.model.pieces.findall(self.model.normalise(stretch))]
+            if len(parts) == 1:
+                found = parts[0]
+            else:
+                ids, n, tokens = zip(*parts) if parts else ((), (), ())
+                found = (" ".join(ids), sum(n), " ".join(tokens))
         if len(stretch) <= LONGEST_CACHED:
             if len(self.known) >= CACHED:
-                self.known.clear()
+                self.known, self.before = {}, self.known
             self.known[stretch] = found
         return found
 
@@ -251,8 +264,9 @@ class Encoder:
         yield from self._plain(text, at, len(text))
 
     def _plain(self, text: str, at: int, end: int):
-        known, look_up = self.known.get, self.look_up
+        look_up = self.look_up
         while at < end:
+            known = self.known.get
             cut = end
             if end - at > TEXT_CHUNK and (space := _SPACE.search(text, at + TEXT_CHUNK, end)):
                 cut = space.start()
@@ -285,7 +299,7 @@ class Decoder:
 
     def feed(self, ids) -> str:
         known = self.model.readable_bytes if self.readable else self.model.token_bytes
-        data = (b"" if self.readable else b" ").join([known[i] for i in ids if i in known])
+        data = (b"" if self.readable else b" ").join([known.get(i, b"") for i in ids])
         if not self.readable and data:
             data, self.fresh = (data if self.fresh else b" " + data), False
         return self.machine.decode(data)
@@ -294,6 +308,8 @@ class Decoder:
         return self.machine.decode(b"", True)
 
     def text(self, ids) -> str:
+        """A whole sequence; the machine is ready for the next one afterwards."""
+        self.fresh = True
         return self.feed(ids) + self.close()
 
 
@@ -324,6 +340,7 @@ def _rows(path: str):
                 [batch.column("doc_id"), *(pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 3, (pa.int64(), pa.string(), pa.string())))],
                 names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
             )
+        encoder.forget()
 
     return run
 
