@@ -142,8 +142,8 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, threshold: fl
         known = shared.value
         for batch in batches:
             out = []
-            for text in batch.column("text").to_pylist():
-                hits = [h for u in units(text or "") if (h := known.best(u))]
+            for text in batch.column("text"):
+                hits = [h for u in units(text.as_py() or "") if (h := known.best(u))]
                 top = min(hits, key=lambda h: (-h[0], h[1]), default=None)
                 names = [known.bags[i][0] for i in sorted({i for _, i in hits})]
                 out.append((known.bags[top[1]][0] if top else None, top[0] if top else None, len(hits), names))

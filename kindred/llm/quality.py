@@ -150,7 +150,7 @@ def _text_rows(docs: DataFrame) -> DataFrame:
 
 def _statistics(batches):
     for batch in batches:
-        rows = [statistics(t or "") for t in batch.column("text").to_pylist()]
+        rows = [statistics(t.as_py() or "") for t in batch.column("text")]
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(rows, pa.list_(pa.float64()))], names=["doc_id", "statistics"])
 
 
@@ -177,7 +177,7 @@ def score(docs: DataFrame, trees: Trees) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            rows = np.array([statistics(t or "") for t in batch.column("text").to_pylist()]).reshape(batch.num_rows, len(NAMES))
+            rows = np.array([statistics(t.as_py() or "") for t in batch.column("text")]).reshape(batch.num_rows, len(NAMES))
             found = np.concatenate([shared.value.predict(rows[i : i + 2048]) for i in range(0, len(rows), 2048)] or [np.zeros(0)])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(found), pa.array((found >= PREDICTED_FROM).astype(np.int32))],

@@ -32,6 +32,7 @@ TERMS = 4096
 LEAST_RATIO = 20.0  # of the likelihood ratio statistic, about one in 10^5 by chance
 LEAST_DOCS = 4
 BLOCK = 64
+COUNTED_TERMS = 1 << 17  # terms that one task counts before it hands them on
 NEIGHBOURS = 15
 PRIOR_WEIGHT = 0.25
 PREDICTED_FROM = 0.3
@@ -78,19 +79,25 @@ def vocabulary(docs: DataFrame, sample: list) -> list[str]:
         return []
     ids = {r.doc_id for r in sample}
 
-    def count(batches):
-        found: dict[str, list[int]] = {}
-        for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                side = 0 if doc_id in toxic else 1
-                for t in terms_of(text or ""):
-                    found.setdefault(t, [0, 0])[side] += 1
+    def given(found):
         names = list(found)
-        yield pa.RecordBatch.from_arrays(
+        return pa.RecordBatch.from_arrays(
             [pa.array(names, pa.string()), *(pa.array([found[t][i] for t in names], pa.int64()) for i in (0, 1))],
             names=["term", "toxic", "clean"],
         )
 
+    def count(batches):
+        found: dict[str, list[int]] = {}
+        for batch in batches:
+            for doc_id, text in zip(batch.column("doc_id"), batch.column("text")):
+                side = 0 if doc_id.as_py() in toxic else 1
+                for t in terms_of(text.as_py() or ""):
+                    found.setdefault(t, [0, 0])[side] += 1
+                if len(found) > COUNTED_TERMS:  # the grouping adds up what goes out early
+                    yield given(found)
+                    found = {}
+        yield given(found)
+
     spark = docs.sparkSession
     chosen = docs.join(F.broadcast(spark.createDataFrame([(i,) for i in ids], "doc_id long")), "doc_id", "left_semi")
     chosen = chosen.groupBy("doc_id").agg(F.min("text").alias("text"))
@@ -193,9 +200,9 @@ def term_counts(docs: DataFrame, terms: list[str]) -> DataFrame:
     def run(batches):
         for batch in batches:
             ids, counts = [], []
-            for text in batch.column("text").to_pylist():
+            for text in batch.column("text"):
                 found: dict[int, int] = {}
-                for w in _WORDS.findall(text.lower()) if text and number else ():
+                for w in _WORDS.findall((text.as_py() or "").lower()) if number else ():
                     t = whole.get(w)
                     if t is not None:
                         found[t] = found.get(t, 0) + 1
