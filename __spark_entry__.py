@@ -43,6 +43,9 @@ PAGE_RELAXED = replace(
     left_extra_cols=("page_id",), right_extra_cols=("page_id",),
 )
 PART = replace(fx.PART, score_threshold=70.0)
+PAGE_BLANK = replace(PAGE, left_extra_cols=("page_id", "branch_code"), scorer="token_sort_ratio", score_threshold=70.0, top_n=3)
+# Truth pairs here are also low, outranked, and both low and of another country.
+ORG_NARROW = replace(ORG_TRUTH, score_threshold=88.0, top_n=1)
 CUT = 80.0
 INDUSTRY = "industry = 'MACHINERY'"
 
@@ -116,7 +119,7 @@ def candidate_counts(spark, d):
 def _match_query(fixture, cfg, then=None):
     def run(spark, d):
         kd.ship(spark)
-        result = kd.match(*fixture(spark, d), cfg)
+        result = kd.match(*fixture(spark, d), cfg, ordered=then is None)
         return then(result) if then else result
 
     return run
@@ -180,15 +183,28 @@ def csv_roundtrip(spark, d):
 
 
 def match_job(spark, d):
-    """The whole job on stored tables: read, link, write, summarise what was written."""
+    """The whole job on stored tables: read, link, write; what was written, with its row count."""
     kd.ship(spark)
-    cfg = replace(ORG, left_name_col="s_name", left_country_col="s_nationkey", left_lei_col="s_suppkey",
-                  left_id_col="s_suppkey", right_name_col="c_name", right_country_col="c_nationkey",
-                  right_lei_col="c_custkey", right_id_col="c_custkey")
-    report = kd.run_job(
-        spark, f"{d}/supplier.parquet", f"{d}/customer.parquet", cfg, shared_folder(spark, "matches"), validate_lei=True
-    )
-    return report.validation
+    paths = [shared_folder(spark, "branches"), shared_folder(spark, "entities"), shared_folder(spark, "matches")]
+    for rows, path in zip(fx.org(spark, d), paths):
+        kd.write_table(rows, path)
+    report = kd.run_job(spark, *paths[:2], ORG, paths[2], right_filter=INDUSTRY, validate_lei=True)
+    return kd.read_table(spark, paths[2]).withColumn("n_rows", F.lit(report.rows).cast("long"))
+
+
+def match_blanks(spark, d):
+    """Missing names and countries, the block of unknown countries, an extra that no table has."""
+    kd.ship(spark)
+    return kd.match(*fx.pages_blank(spark, d), PAGE_BLANK)
+
+
+def schema_listing(spark, d):
+    return kd.schema_of(fx.table(spark, d, "customer"))
+
+
+def narrow_miss_reasons(spark, d):
+    kd.ship(spark)
+    return kd.miss_reasons(*fx.org(spark, d), ORG_NARROW)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -225,6 +241,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "preview": _match_query(fx.org, ORG, lambda r: kd.preview(r, ORG)),
         "csv_roundtrip": csv_roundtrip,
         "match_job": match_job,
+        "match_blanks": match_blanks,
+        "schema_listing": schema_listing,
+        "narrow_miss_reasons": narrow_miss_reasons,
     }
     if llm:
         out |= llm.queries() | {"pipeline": corpus_pipeline.run}
@@ -234,23 +253,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     org = sql.keyed("org", ORG)
     ranked = lambda fixture, cfg: f"with {sql.match_rows(fixture, cfg)} "
-    misses = (
-        f"with {sql.match_rows('org', ORG_TRUTH)}, {sql.truth(ORG)}, "
-        "gone as materialized (select * from truth where not exists (select 1 from ranked "
-        "where ranked.l_pos = truth.left_id and ranked.r_pos = truth.right_id)), "
-    )
-    # The misses also lie across countries, so they are scored apart from the run's pairs.
-    rescored = sql.scores("select left_key as a, right_key as b from gone", ["ensemble"])
-    for cte in ("dp", "nm0", "nm1", "nm", "j0", "j1", "j2", "j3", "scored"):
-        rescored = _rename(rescored, cte)
-    misses += rescored + f""", missed as (select left_id, right_id, left_country_key, right_country_key,
-        round_even(ensemble, 2) as fuzzy_score,
-        case when left_country_key <> right_country_key and ensemble < {ORG.score_threshold}::double
-               then 'country_mismatch+low_score'
-             when left_country_key <> right_country_key then 'country_mismatch'
-             when ensemble < {ORG.score_threshold}::double then 'low_fuzzy_score'
-             else 'outranked' end as miss_reason
-      from gone join scored2 on a = left_key and b = right_key) """
+    misses = _misses_sql(ORG_TRUTH)
     stats = """select lei_match, count(*) as n, round_even(avg(fuzzy_score), 2) as avg_score,
         min(fuzzy_score) as min_score, max(fuzzy_score) as max_score,
         round_even(median(fuzzy_score), 2) as median_score from ranked group by lei_match"""
@@ -259,11 +262,6 @@ def oracle_sql() -> dict[str, str]:
         f"round_even(avg({s}), 2) as mean_score from t"
         for s in kd.SCORERS
     )
-    job = replace(
-        ORG, left_name_col="s_name", left_country_col="s_nationkey", left_lei_col="s_suppkey",
-        left_id_col="s_suppkey", right_name_col="c_name", right_country_col="c_nationkey",
-        right_lei_col="c_custkey", right_id_col="c_custkey",
-    )
     out = {
         "normalize_names": f"""select kind, id, {sql.name_key('text')} as name_key from (
             select 'document' as kind, doc_id as id, text from documents
@@ -322,13 +320,14 @@ def oracle_sql() -> dict[str, str]:
             r_name as right_SP_ENTITY_NAME, r_lei as right_SP_LEI, fuzzy_score, lei_match, match_rank from ranked
             order by l_name, l_country, match_rank limit 20""",
         "csv_roundtrip": sql.match_sql("org", ORG),
-        "match_job": "",
+        "match_job": sql.match_sql("org", ORG, INDUSTRY).replace(" from ranked", ", count(*) over () as n_rows from ranked"),
+        "match_blanks": sql.match_sql("blank", replace(PAGE_BLANK, left_extra_cols=("page_id",))).replace(
+            " from ranked", ", null::varchar as left_branch_code from ranked"
+        ),
+        "schema_listing": """select column_name, case column_type when 'INTEGER' then 'int' when 'VARCHAR' then 'string'
+            else lower(column_type) end as column_type from (describe select * from customer)""",
+        "narrow_miss_reasons": _misses_sql(ORG_NARROW) + "select miss_reason, count(*) as n from missed group by miss_reason",
     }
-    sql.SIDES["job"] = ("select * from supplier", "select * from customer")
-    # The left identifier is a number there, which holds no identifier list.
-    out["match_job"] = ranked("job", job).replace("s_suppkey as lei", "null::varchar as lei").replace(
-        "c_custkey as lei", "c_custkey::varchar as lei"
-    ) + stats
     if llm:
         out |= llm.oracle_sql()
         if corpus_pipeline.ORACLE_SQL:
@@ -336,6 +335,27 @@ def oracle_sql() -> dict[str, str]:
     return out
 
 
+def _misses_sql(cfg) -> str:
+    """CTEs ending in ``missed``: identifier-confirmed pairs that the run does not return."""
+    misses = (
+        f"with {sql.match_rows('org', cfg)}, {sql.truth(cfg)}, "
+        "gone as materialized (select * from truth where not exists (select 1 from ranked "
+        "where ranked.l_pos = truth.left_id and ranked.r_pos = truth.right_id)), "
+    )
+    # The misses also lie across countries, so they are scored apart from the run's pairs.
+    rescored = sql.scores("select left_key as a, right_key as b from gone", ["ensemble"])
+    for cte in ("dp", "nm0", "nm1", "nm", "j0", "j1", "j2", "j3", "scored"):
+        rescored = _rename(rescored, cte)
+    return misses + rescored + f""", missed as (select left_id, right_id, left_country_key, right_country_key,
+        round_even(ensemble, 2) as fuzzy_score,
+        case when left_country_key <> right_country_key and ensemble < {cfg.score_threshold}::double
+               then 'country_mismatch+low_score'
+             when left_country_key <> right_country_key then 'country_mismatch'
+             when ensemble < {cfg.score_threshold}::double then 'low_fuzzy_score'
+             else 'outranked' end as miss_reason
+      from gone join scored2 on a = left_key and b = right_key) """
+
+
 def _rename(text: str, cte: str) -> str:
     """The same CTE chain under second names, for use beside the first."""
     import re

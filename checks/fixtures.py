@@ -1,13 +1,15 @@
 """The given tables in the roles of branch (left) and headquarters (right) records.
 
-Every fixture uses whole tables and whole texts.
+Every fixture keeps every row of its driving tables and whole texts; parts only lend names to
+suppliers and customers of the same number.
 
 ORG   suppliers as branches, customers as headquarters; the names combine a part name, a
       market segment and a legal form, the countries are spelled differently on each side.
 PART  parts against parts by type: few distinct names, many copies, rank ties.
 PAGE  page titles against page titles by language: accents, junk, uneven lengths.  In the
       relaxed variant a page served over plain http carries its domain instead of its
-      language, which no right row has.
+      language, which no right row has.  In the blank variant every seventh title and every
+      fifth language is missing.
 """
 
 from __future__ import annotations
@@ -105,3 +107,11 @@ def pages_moved(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
         "area", F.when(F.col("domain") != "", F.col("domain")).otherwise(F.col("area"))
     )
     return moved.drop("domain"), right
+
+
+def pages_blank(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    both, _ = pages(spark, sf_dir)
+    both = both.withColumn("title", F.expr("if(page_id % 7 = 0, null, title)")).withColumn(
+        "area", F.expr("if(page_id % 5 = 0, null, area)")
+    )
+    return both, both

@@ -75,12 +75,15 @@ PAGES = """select page_id, url, regexp_extract(html, '<title>(.*?)</title>', 1)
   from pages"""
 DOMAIN = "regexp_extract(url, '^http://[^/]*[.]([a-z]+)/', 1)"
 PAGES_MOVED = f"select * replace (case when {DOMAIN} <> '' then {DOMAIN} else area end as area) from ({PAGES})"
+PAGES_BLANK = f"""select * replace (case when page_id % 7 = 0 then null else title end as title,
+    case when page_id % 5 = 0 then null else area end as area) from ({PAGES})"""
 
 SIDES = {
     "org": (ORG_LEFT, ORG_RIGHT),
     "part": ("select * from part", "select * from part"),
     "page": (PAGES, PAGES),
     "moved": (PAGES_MOVED, PAGES),
+    "blank": (PAGES_BLANK, PAGES_BLANK),
 }
 
 

@@ -185,7 +185,9 @@ def _shorten_forms(text: Column) -> Column:
     """
     any_form = r"\b(" + "|".join(phrase for phrase, _ in LEGAL_FORMS) + r")\b"
     table = _table(dict(LEGAL_FORMS))
-    pieces = F.split(F.regexp_replace(text, any_form, "\x01$1\x01"), "\x01")
+    # The mark itself may stand in a name; there it is one more character that is no word's.
+    unmarked = F.translate(text, "\x01", ".")
+    pieces = F.split(F.regexp_replace(unmarked, any_form, "\x01$1\x01"), "\x01")
     shortened = F.array_join(F.transform(pieces, lambda p: F.coalesce(F.try_element_at(table, p), p)), "")
     # Every form holds one of these words.
     marks = dict.fromkeys(max(phrase.split(), key=len) for phrase, _ in LEGAL_FORMS)

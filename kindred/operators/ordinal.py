@@ -2,103 +2,88 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from .rows import BLOCK, COPIES, LAST, NAME, POSITION
+from .rows import BLOCK, COPIES, NAME, POSITION
+from .stage import staged
 
 HOT_ROWS = 1_000_000
 SLICE_ROWS = 250_000
-BROADCAST_ROWS = 100_000
 
 
-def _shared_prefix(low: Column, high: Column) -> Column:
-    """Length in bytes of the common beginning of two binary values."""
-    steps = F.sequence(F.lit(0), F.least(F.length(low), F.length(high)))
-    same = lambda n: F.substring(low, F.lit(1), n) == F.substring(high, F.lit(1), n)
-    return F.array_max(F.filter(steps, same))
+def hot_groups(names: DataFrame, hot_rows: int = HOT_ROWS) -> tuple[DataFrame, int] | None:
+    """Names with more than ``hot_rows`` rows and the number of their rows, or None.
 
-
-def _measure(position: Column, prefix: Column) -> Column:
-    """Order-keeping number of a string: the six bytes after the group's common prefix."""
-    part = F.substring(F.encode(position, "UTF-8"), prefix + 1, F.lit(6))
-    return F.conv(F.rpad(F.hex(part), 12, "0"), 16, 10).cast("double")
+    ``names`` should be staged.
+    """
+    hot = names.filter(F.col(COPIES) > hot_rows).select(BLOCK, NAME, COPIES)
+    total = hot.agg(F.sum(COPIES)).first()[0]
+    return (hot.drop(COPIES), total) if total else None
 
 
-def hot_groups(names: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame | None:
-    """Names with more than ``hot_rows`` rows, or None; ``names`` should be staged.
+def _sliced(rows: DataFrame, total: int, slice_rows: int) -> DataFrame:
+    """Rows of hot names with a slice number that grows with the position.
 
-    At most (all rows) / ``hot_rows`` can exist; they are counted here, and broadcast only
-    if they are few.
+    Slices are ranges of (name, position), so they hold about ``slice_rows`` rows whatever
+    the positions look like; rows of one position are alike, and a running number parts them.
+    Ranges come from a sample, so the numbers are stored before anything is counted.
     """
-    hot = names.filter(F.col(COPIES) > hot_rows).select(
-        BLOCK,
-        NAME,
-        F.col(COPIES).alias("_all"),
-        F.col(POSITION).alias("_low"),
-        F.col(LAST).alias("_high"),
-    )
-    count = hot.count()
-    if not count:
-        return None
-    return F.broadcast(hot) if count <= BROADCAST_ROWS else hot
-
-
-def _sliced(rows: DataFrame, hot: DataFrame, slice_rows: int) -> DataFrame:
-    """Mark the rows of hot names with a slice number that grows with the position."""
-    if isinstance(rows.schema[POSITION].dataType, T.StringType):
-        prefix = _shared_prefix(F.encode("_low", "UTF-8"), F.encode("_high", "UTF-8"))
-        hot = hot.withColumn("_prefix", prefix)
-        value = lambda c: _measure(F.col(c), F.col("_prefix"))
-    else:
-        value = lambda c: F.col(c).cast("double")
-    slices = F.ceil(F.col("_all") / slice_rows)
-    share = (value(POSITION) - value("_low")) / F.greatest(value("_high") - value("_low"), F.lit(1.0))
-    number = F.greatest(F.lit(0), F.least(slices - 1, F.floor(share * slices)))
-    marked = rows.join(hot, [BLOCK, NAME], "left")
-    return marked.withColumn("_slice", F.coalesce(number, F.lit(-1).cast("bigint"))).drop(
-        "_all", "_low", "_high", "_prefix"
+    slices = math.ceil(total / slice_rows)
+    spread_out = rows.withColumn("_salt", F.monotonically_increasing_id()).repartitionByRange(
+        slices, BLOCK, NAME, POSITION, "_salt"
     )
+    return staged(spread_out.withColumn("_slice", F.spark_partition_id() + 1).drop("_salt"))
 
 
-def with_ordinal(rows: DataFrame, keys, hot: DataFrame | None, slice_rows: int = SLICE_ROWS) -> DataFrame:
+def with_ordinal(
+    rows: DataFrame, keys, hot: tuple[DataFrame, int] | None, slice_rows: int = SLICE_ROWS
+) -> DataFrame:
     """Add ``_ordinal`` (1-based order by position) and ``_group`` (size) within ``keys``.
 
-    ``keys`` must determine block and name.  Groups inside a hot name are cut into slices
-    along the position, interpolated between the name's first and last; slices are
-    numbered apart and shifted by the sizes of those before them, so no task ever holds
-    such a group.
+    ``keys`` must determine block and name.  Rows of hot names are cut into slices along the
+    position; slices are numbered apart and shifted by the sizes of those before them, so no
+    task ever holds such a group.  Then ``_slice`` is added too (0 for all other rows).
     """
-    if hot is None:
-        group = Window.partitionBy(*keys)
-        return rows.withColumn("_ordinal", F.row_number().over(group.orderBy(POSITION))).withColumn(
+    group = Window.partitionBy(*keys)
+
+    def numbered(some):
+        return some.withColumn("_ordinal", F.row_number().over(group.orderBy(POSITION))).withColumn(
             "_group", F.count(F.lit(1)).over(group)
         )
-    marked = _sliced(rows, hot, slice_rows)
-    group = Window.partitionBy(*keys, "_slice")
-    numbered = marked.withColumn("_local", F.row_number().over(group.orderBy(POSITION))).withColumn(
-        "_here", F.count(F.lit(1)).over(group)
-    )
-    whole = Window.partitionBy(*keys)
-    before = whole.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+
+    if hot is None:
+        return numbered(rows)
+    names, total = hot
+    cold = numbered(rows.join(names, [BLOCK, NAME], "left_anti")).withColumn("_slice", F.lit(0))
+    marked = _sliced(rows.join(names, [BLOCK, NAME], "left_semi"), total, slice_rows)
+    before = group.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     shift = (
-        marked.filter(F.col("_slice") >= 0)
-        .groupBy(*keys, "_slice")
+        marked.groupBy(*keys, "_slice")
         .agg(F.count(F.lit(1)).alias("_rows"))
         .withColumn("_shift", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
-        .withColumn("_all", F.sum("_rows").over(whole))
+        .withColumn("_group", F.sum("_rows").over(group))
         .drop("_rows")
     )
+    local = Window.partitionBy(*keys, "_slice").orderBy(POSITION)
     # Keys may be null: compare null-safe, under names of their own.
     own = {k: f"_key_{i}" for i, k in enumerate([*keys, "_slice"])}
     shift = shift.withColumnsRenamed(own)
     same = reduce(lambda x, y: x & y, [F.col(f"`{k}`").eqNullSafe(F.col(v)) for k, v in own.items()])
-    joined = numbered.join(shift, same, "left")
-    return (
-        joined.withColumn("_ordinal", F.col("_local") + F.coalesce("_shift", F.lit(0)))
-        .withColumn("_group", F.coalesce("_all", "_here"))
-        .drop("_local", "_here", "_shift", "_all", "_slice", *own.values())
-    )
+    joined = marked.withColumn("_local", F.row_number().over(local)).join(shift, same)
+    joined = joined.withColumn("_ordinal", F.col("_local") + F.col("_shift")).drop("_local", "_shift", *own.values())
+    return cold.unionByName(joined)
+
+
+def spread(found: DataFrame, rows: DataFrame) -> tuple[DataFrame, list[str]]:
+    """What was found for each name, copied to the slices of its rows, and the join's keys.
+
+    At most ``top_n`` rows are copied per slice, so a hot name's rows join slice by slice.
+    """
+    if "_slice" not in rows.columns:
+        return found, [BLOCK, NAME]
+    slices = rows.select(BLOCK, NAME, "_slice").distinct()
+    return found.join(slices, [BLOCK, NAME]), [BLOCK, NAME, "_slice"]

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from ..functions.text import normalise
 
 BLOCK, NAME, POSITION = "_block", "_name", "_position"
-COPIES, LAST = "_copies", "_last_position"
+COPIES = "_copies"
 
 
 def column(df: DataFrame, name: str) -> Column:
@@ -72,10 +72,10 @@ def top_rows(rows: DataFrame, keys, order, count, rank="_nth") -> DataFrame:
 
 
 def distinct_names(rows: DataFrame, keys=(BLOCK, NAME)) -> DataFrame:
-    """Distinct names with their number of rows, first and last position.
+    """Distinct names with their number of rows and first position.
 
     Aggregated before the shuffle, so any number of copies of a name costs one row.
     """
     return rows.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias(COPIES), F.min(POSITION).alias(POSITION), F.max(POSITION).alias(LAST)
+        F.count(F.lit(1)).alias(COPIES), F.min(POSITION).alias(POSITION)
     )

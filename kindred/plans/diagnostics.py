@@ -126,7 +126,7 @@ def truth_misses(left: DataFrame, right: DataFrame, cfg: MatchConfig) -> DataFra
         "right_extra_cols": tuple(dict.fromkeys([*cfg.right_extra_cols, cfg.right_id_col])),
     }
     truth = truth_pairs(left, right, cfg)
-    found = match(left, right, replace(cfg, **extras)).select(
+    found = match(left, right, replace(cfg, **extras), ordered=False).select(
         F.col(f"`left_{cfg.left_id_col}`").alias("left_id"),
         F.col(f"`right_{cfg.right_id_col}`").alias("right_id"),
     )
@@ -147,7 +147,7 @@ def miss_reasons(left: DataFrame, right: DataFrame, cfg: MatchConfig) -> DataFra
         "left_key": cfg.left_name_col, "left_country_key": cfg.left_country_col,
         "right_key": cfg.right_name_col, "right_country_key": cfg.right_country_col,
     }
-    found = match(left, right, cfg).filter("lei_match").select(
+    found = match(left, right, cfg, ordered=False).filter("lei_match").select(
         *[F.col(f"`{key.split('_')[0]}_{c}`").alias(key) for key, c in names.items()]
     )
     for who in ("left", "right"):

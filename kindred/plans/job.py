@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..config import MatchConfig
 from ..operators.stage import staged
-from ..sources.tables import FORMATS, preview, read_table, write_table
+from ..sources.tables import FORMATS, ROW_POSITION, preview, read_table, table_format, write_table
 from .diagnostics import run_summary, validate_lei_scores
 from .match import match
 
@@ -23,6 +24,13 @@ class JobReport:
     validation: DataFrame | None
 
 
+def _read_side(spark, path, fmt, cfg, id_col, multi_line):
+    """The table, and the settings with file order as its id where they name none."""
+    ordered = getattr(cfg, id_col) is None and table_format(path, fmt) == "parquet"
+    table = read_table(spark, path, fmt, position=ordered, multi_line=multi_line)
+    return table, replace(cfg, **{id_col: ROW_POSITION}) if ordered else cfg
+
+
 def run_job(
     spark: SparkSession,
     left_path: str,
@@ -33,17 +41,22 @@ def run_job(
     left_format: str | None = None,
     right_format: str | None = None,
     validate_lei: bool = False,
+    right_filter: Column | str | None = None,
+    multi_line: bool = False,
 ) -> JobReport:
     """Link the two tables, write the result, and summarise what was written.
 
+    Without an id column, file order breaks ties in Parquet input and content in CSV input.
+    ``right_filter``, a column or SQL text, narrows the right side first.
+
     The summaries read the written result back, so the linking itself runs once.
     """
     cfg = cfg or MatchConfig()
     if output_format.lower() not in FORMATS:
         raise ValueError(f"unknown format {output_format!r}; choose one of {', '.join(FORMATS)}")
-    left = read_table(spark, left_path, left_format)
-    right = read_table(spark, right_path, right_format)
-    results = match(left, right, cfg)
+    left, cfg = _read_side(spark, left_path, left_format, cfg, "left_id_col", multi_line)
+    right, cfg = _read_side(spark, right_path, right_format, cfg, "right_id_col", multi_line)
+    results = match(left, right, cfg, F.expr(right_filter) if isinstance(right_filter, str) else right_filter)
     if output_format.lower() == "parquet":
         rows = write_table(results, output)
         saved = read_table(spark, output)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..config import MatchConfig
 from ..functions.text import lei_overlap
 from ..operators.compare import best_names
-from ..operators.ordinal import hot_groups, with_ordinal
+from ..operators.ordinal import hot_groups, spread, with_ordinal
 from ..operators.rows import (
     BLOCK, COPIES, NAME, POSITION, distinct_names, left_rows, right_rows, top_rows,
 )
@@ -73,7 +73,9 @@ def _picked(names: DataFrame, right: DataFrame, keys, cfg: MatchConfig) -> DataF
     lie within the best names, so hot names and repeated rows never multiply.
     """
     block = [k for k in keys if k == BLOCK]
-    rows = top_rows(right, keys, [F.col(POSITION)], cfg.top_n)
+    # Few names match: only their rows are shuffled and numbered.
+    wanted = names.select(*block, F.col("_right_name").alias(NAME)).distinct()
+    rows = top_rows(right.join(wanted, list(keys), "left_semi"), keys, [F.col(POSITION)], cfg.top_n)
     pairs = names.drop(POSITION).withColumnRenamed("_right_name", NAME)
     joined = pairs.join(rows if block else rows.drop(BLOCK), list(keys))
     left_name = [BLOCK, "_left_name"]
@@ -100,14 +102,16 @@ def _result_columns(cfg: MatchConfig) -> list[str]:
 
 
 def match(
-    left: DataFrame, right: DataFrame, cfg: MatchConfig | None = None, right_filter: Column | None = None
+    left: DataFrame, right: DataFrame, cfg: MatchConfig | None = None, right_filter: Column | None = None,
+    ordered: bool = True,
 ) -> DataFrame:
     """Link every left row to its best right rows.
 
     One row per kept pair: key columns, score, identifier and country flags, rank, extras;
-    sorted by left name, left country and rank.  ``right_filter`` narrows the right side
-    first.  The distinct names of both sides are staged when this is called (with
-    ``relax_country`` the strict names too); the rest runs with the first action.
+    sorted by left name, left country and rank, unless ``ordered`` is False, which spares the
+    sort where a summary follows.  ``right_filter`` narrows the right side first.  The
+    distinct names of both sides and the strict matches among them are staged when this is
+    called; the rest runs with the first action.
     """
     cfg = cfg or MatchConfig()
     if right_filter is not None:
@@ -115,9 +119,7 @@ def match(
     l, r = left_rows(left, cfg), right_rows(right, cfg)
     left_names, right_names = staged(distinct_names(l)), staged(distinct_names(r))
 
-    strict = best_names(left_names, right_names, cfg)
-    if cfg.relax_country:
-        strict = staged(strict)
+    strict = staged(best_names(left_names, right_names, cfg))
     found = _picked(strict, r, (BLOCK, NAME), cfg).withColumn("country_match", F.lit(True))
     if cfg.relax_country:
         missed = unmatched_names(left_names, strict)
@@ -126,7 +128,9 @@ def match(
         found = found.unionByName(wide)
 
     name, country = f"left_{cfg.left_name_col}", f"left_{cfg.left_country_col}"
-    rows = with_ordinal(l, [name, country], hot_groups(left_names))
+    # Nameless rows match nothing, so they need no numbers.
+    rows = with_ordinal(l.filter(F.col(NAME) != ""), [name, country], hot_groups(left_names))
+    found, keys = spread(found, rows)
     # Copies of a left row share their matches, so the rank among all of them has a closed
     # form: everything scored higher, then equal scores of earlier copies, then own order.
     rank = F.col("_group") * F.col("_above") + (F.col("_ordinal") - 1) * F.col("_alike") + F.col("_among")
@@ -134,12 +138,13 @@ def match(
     if dict(l.dtypes)[f"left_{cfg.left_lei_col}"] != "string":
         lei[0] = F.lit(None).cast("string")  # only text holds identifier lists
     result = (
-        rows.join(found, [BLOCK, NAME])
+        rows.join(found, keys)
         .withColumn("match_rank", rank.cast("bigint"))
         .withColumn("lei_match", lei_overlap(*lei))
     )
+    result = result.select(*[F.col(f"`{c}`") for c in _result_columns(cfg)])
     order = [F.col(f"`{c}`").asc_nulls_last() for c in (name, country, "match_rank")]
-    return result.select(*[F.col(f"`{c}`") for c in _result_columns(cfg)]).orderBy(*order)
+    return result.orderBy(*order) if ordered else result
 
 
 def unique_pairs(results: DataFrame, cfg: MatchConfig) -> DataFrame:

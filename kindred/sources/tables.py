@@ -11,28 +11,36 @@ FORMATS = ("parquet", "csv")
 ROW_POSITION = "row_position"
 
 
-def _format(path: str, fmt: str | None) -> str:
+def table_format(path: str, fmt: str | None) -> str:
     fmt = (fmt or ("csv" if path.lower().rstrip("/").endswith(".csv") else "parquet")).lower()
     if fmt not in FORMATS:
         raise ValueError(f"unknown format {fmt!r}; choose one of {', '.join(FORMATS)}")
     return fmt
 
 
-def read_table(spark: SparkSession, path: str, fmt: str | None = None, position: bool = False) -> DataFrame:
+def read_table(
+    spark: SparkSession, path: str, fmt: str | None = None, position: bool = False, multi_line: bool = False
+) -> DataFrame:
     """Read Parquet, or CSV with a header as text columns.
 
+    CSV is split into parts of a file; ``multi_line``, needed only where fields hold line
+    breaks, makes each file one task.
+
     ``position`` adds ``row_position``, the file order of Parquet rows, for use as an id
-    column; it comes from file metadata and is the same on every read.
+    column; it comes from file metadata and is the same on every read: the row number of a
+    single file, else file and row number as text.
     """
-    if _format(path, fmt) == "csv":
+    if table_format(path, fmt) == "csv":
         if position:
             raise ValueError("row positions are only available for Parquet")
         # Doubled quotes inside a quoted field, as most writers of CSV put them.
-        options = {"header": True, "quote": '"', "escape": '"', "multiLine": True}
+        options = {"header": True, "quote": '"', "escape": '"', "multiLine": multi_line}
         return spark.read.options(**options).csv(path)
     table = spark.read.parquet(path)
     if not position:
         return table
+    if len(table.inputFiles()) == 1:
+        return table.withColumn(ROW_POSITION, F.col("_metadata.row_index"))
     place = F.format_string("%s#%020d", F.col("_metadata.file_path"), F.col("_metadata.row_index"))
     return table.withColumn(ROW_POSITION, place)
 

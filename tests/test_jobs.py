@@ -128,3 +128,31 @@ def test_schema_and_positions(spark, data, tmp_path):
     assert [r.id for r in read.orderBy("row_position").collect()] == [1, 2, 3, 4, 5]
     cfg = replace(CFG, right_id_col="row_position")
     assert kd.match(data[0], read, cfg).count() == kd.match(*data, CFG).count()
+
+
+def test_job_breaks_ties_by_file_order(spark, tmp_path):
+    """Rows that tie keep the order of the file, not of their content."""
+    left = spark.createDataFrame([("Alpha Bank", "France", None)], "institution_name string, country_name string, lei string")
+    names = [f"Alpha Bank {c}" for c in "zyxwvuts"]
+    right = spark.createDataFrame([(n, "France", None) for n in names], "SP_ENTITY_NAME string, SP_COUNTRY_NAME string, SP_LEI string")
+    left.write.parquet(str(tmp_path / "l"))
+    right.coalesce(1).write.parquet(str(tmp_path / "r"))
+    cfg = kd.MatchConfig(top_n=3, scorer="token_set_ratio")
+    report = kd.run_job(spark, str(tmp_path / "l"), str(tmp_path / "r"), cfg, str(tmp_path / "out"))
+    assert report.rows == 3
+    got = kd.read_table(spark, str(tmp_path / "out")).orderBy("match_rank").collect()
+    assert [r.right_SP_ENTITY_NAME for r in got] == names[:3]
+    kd.run_job(spark, str(tmp_path / "l"), str(tmp_path / "r"), cfg, str(tmp_path / "o2"), right_filter="SP_ENTITY_NAME > 'Alpha Bank w'")
+    got = kd.read_table(spark, str(tmp_path / "o2")).orderBy("match_rank").collect()
+    assert [r.right_SP_ENTITY_NAME for r in got] == names[:3]
+
+
+def test_csv_is_split(spark, tmp_path):
+    spark.range(200_000).selectExpr("id", "repeat('x', 20) as name").coalesce(1).write.option("header", True).csv(str(tmp_path / "big"))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1m")
+    try:
+        assert kd.read_table(spark, str(tmp_path / "big"), "csv").rdd.getNumPartitions() > 3
+        assert kd.read_table(spark, str(tmp_path / "big"), "csv", multi_line=True).rdd.getNumPartitions() == 1
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)

@@ -157,6 +157,30 @@ def test_ordinal_slices(spark, kind):
     assert sorted(sliced.select(columns).collect()) == sorted(plain.select(columns).collect())
 
 
+@pytest.mark.parametrize("kind", ["outlier", "clustered", "content"])
+def test_hot_slices_are_even(spark, kind):
+    """Slices stay near their size whatever the positions look like."""
+    ids = {"outlier": "if(id = 0, 1000000000000, id)", "clustered": "format_string('part-0/file#%020d', id)", "content": "id"}[kind]
+    rows = spark.range(20_000).selectExpr(f"{ids} as id", "'First Bank' as institution_name", "'France' as country_name")
+    rows = left_rows(rows, replace(CFG, left_extra_cols=(), left_id_col=None if kind == "content" else "id"))
+    sliced = with_ordinal(rows, ["left_institution_name", "left_country_name"], hot_groups(distinct_names(rows), 100), 1000)
+    assert sliced.groupBy("_slice").count().agg(F.max("count")).first()[0] <= 2000
+    assert sliced.agg(F.count_distinct("_ordinal"), F.max("_ordinal"), F.min("_group")).first() == (20_000, 20_000, 20_000)
+
+
+def test_derived_results_are_not_sorted_first(data):
+    results = kd.match(*data, CFG, ordered=False)
+    for derived in (kd.validate_lei_scores(results), kd.unique_pairs(results, CFG), kd.run_summary(results, CFG)):
+        assert "Sort [" not in derived._jdf.queryExecution().optimizedPlan().toString()
+    assert "Sort [" in kd.match(*data, CFG)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_right_rows_are_narrowed_before_their_numbering(data):
+    plan = kd.match(*data, CFG, ordered=False)._jdf.queryExecution().optimizedPlan().toString()
+    limit = plan.index("WindowGroupLimit", plan.index("_nth"))
+    assert "LeftSemi" in plan[limit:]
+
+
 def test_plan_has_no_cross_join_and_limits_early(data):
     cfg = replace(CFG, relax_country=True)
     plan = kd.match(*data, cfg)._jdf.queryExecution().toString()

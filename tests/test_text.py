@@ -4,6 +4,8 @@ import sys
 import unicodedata
 
 import pytest
+
+import kindred as kd
 from pyspark.sql import functions as F
 
 from kindred import country_key, lei_overlap, lei_set, name_key
@@ -131,3 +133,11 @@ def test_fold_every_character(spark):
     want = ["".join(f"<{fold(c)}>" for c in chars[i : i + 64]) for i in range(0, len(chars), 64)]
     got = [r[0] for r in column_of(spark, blocks).select(ascii_fold(F.col("v"))).collect()]
     assert got == want
+
+
+def test_control_characters_part_words(spark):
+    names = {"alpha\x01corporation": "alpha corp", "alpha\x02corporation": "alpha corp", "corpo\x01ration": "corpo ration",
+             "a\x01corporation\x01b": "a corp b"}
+    df = spark.createDataFrame([(k,) for k in names], "name string")
+    got = {r.name: r.key for r in kd.normalise(df.selectExpr("name", "name as key"), "key", None).collect()}
+    assert got == names
