@@ -14,9 +14,10 @@ n-grams, so they can't differ in too many segments:
 
 Candidates are verified exactly on the whole sets.  Equal sets collapse to one representative
 beforehand.  In each signature's class, members meet one hub after another instead of each
-other; links found so join components.  For members of one class in different components,
-the triangle inequality of the Jaccard distance to a common hub excludes pairs, and what is
-then left is compared pair by pair, so no link between different components is lost.
+other; links found so join components.  Members of one class that are then still in different
+components are compared in blocks of small sketches whose unequal bytes bound the differences
+from below; only pairs that the bound leaves open are verified, so no link between different
+components is lost and no list of all pairs arises.
 
 A document with fewer than n words has its whole word sequence as its one n-gram; without words
 its set is empty and linked with nothing.  N-grams are told apart by 64-bit fingerprints; equal
@@ -28,10 +29,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.stage import staged
+from ..operators.stage import shared_folder, staged
 from . import packs
 from .arrays import NOT_SPACE, grams, mix, text_buffers, words
 from .components import connected
@@ -40,6 +41,9 @@ N = 4
 NUMERATOR, DENOMINATOR = 85, 100
 BAND_GROWTH = 1.4
 HUB_ROUNDS = 2
+BLOCK_ROWS = 2048  # members of a class whose sketches meet in one task
+VERIFY_ROWS = 256  # pairs whose sets are in memory at once
+BROADCAST_IDS = 1 << 20  # of 8 bytes each
 _CAND = "doc_id long, n_shingles long, high long, low long, signatures array<struct<signature:long,probe:boolean>>"
 
 
@@ -202,39 +206,47 @@ def _allocate(n: int, n_filter: int, p: int, q: int):
     return run
 
 
-def _sets(n: int):
+def _similarities(n: int):
+    """Sizes of two texts' sets and of their intersection."""
+
     def run(batches):
         for batch in batches:
-            sets = shingle_sets(pa.Table.from_batches([batch]), n)
+            out = []
+            for at in range(0, batch.num_rows, VERIFY_ROWS):
+                part = batch.slice(at, VERIFY_ROWS)
+                sides = [shingle_sets(pa.table({"text": part.column(c)}), n) for c in ("text_a", "text_b")]
+                for a, b in zip(*sides):
+                    joined = np.sort(np.concatenate((a, b)))
+                    out.append((len(a), len(b), int((joined[1:] == joined[:-1]).sum())))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([s.tobytes() for s in sets], pa.binary())], names=["doc_id", "grams"]
+                [batch.column("a"), batch.column("b"), *(pa.array(c, pa.int64()) for c in (zip(*out) if out else [[]] * 3))],
+                names=["a", "b", "n_a", "n_b", "common"],
             )
 
     return run
 
 
-def _similarities(batches):
-    """Sizes of two sets and of their intersection."""
-    for batch in batches:
-        r, s, both = [], [], []
-        for x, y in zip(batch.column("grams_a"), batch.column("grams_b")):
-            a, b = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
-            joined = np.sort(np.concatenate((a, b)))
-            r.append(len(a))
-            s.append(len(b))
-            both.append(int((joined[1:] == joined[:-1]).sum()))
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("a"), batch.column("b"), *(pa.array(c, pa.int64()) for c in (r, s, both))],
-            names=["a", "b", "n_a", "n_b", "common"],
-        )
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The rows as a Parquet table in the shared folder; texts take less there than in a checkpoint."""
+    path = shared_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def with_ids(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of the given identifiers: a broadcast of at most BROADCAST_IDS of them, else a shuffle."""
+    small = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    return rows.join(F.broadcast(ids) if small else ids, "doc_id", "left_semi")
 
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def verified(pairs: DataFrame, texts: DataFrame, n: int) -> DataFrame:
     """(a, b, n_a, n_b, common) of candidate pairs (a, b)."""
-    left = sets.select(F.col("doc_id").alias("a"), F.col("grams").alias("grams_a"))
-    right = sets.select(F.col("doc_id").alias("b"), F.col("grams").alias("grams_b"))
+    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+    texts = with_ids(texts, ids)
+    left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
+    right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
     both = pairs.select("a", "b").join(right, "b").join(left, "a")
-    return both.mapInArrow(_similarities, "a long, b long, n_a long, n_b long, common long")
+    return both.mapInArrow(_similarities(n), "a long, b long, n_a long, n_b long, common long")
 
 
 def join(docs: DataFrame, n: int = N, p: int = NUMERATOR, q: int = DENOMINATOR) -> DataFrame:
@@ -262,7 +274,8 @@ def join(docs: DataFrame, n: int = N, p: int = NUMERATOR, q: int = DENOMINATOR)
     )
     fits = F.expr(f"n * {q} >= hub_n * {p} and hub_n * {q} >= n * {p}")
     wanted = spots.select("doc_id").distinct()
-    sets = staged(docs.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]).mapInArrow(_sets(n), "doc_id long, grams binary"))
+    wanted = staged(wanted)
+    texts = written(with_ids(docs, wanted).dropDuplicates(["doc_id"]), "texts")
     distances = None
     linked = F.expr(f"{q} * common >= {p} * (n_a + n_b - common)")
     label = None
@@ -284,11 +297,11 @@ def join(docs: DataFrame, n: int = N, p: int = NUMERATOR, q: int = DENOMINATOR)
             if turn < HUB_ROUNDS:
                 pairs = now.filter("component <> hub_component").filter(fits).select(F.col("hub").alias("a"), F.col("doc_id").alias("b"))
             else:
-                pairs = _rest(now, distances, p, q)
+                pairs = _rest(now, texts, n, p, q)
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         if distances is not None:
             pairs = pairs.join(distances, ["a", "b"], "left_anti")
-        new = staged(verified(pairs, sets))
+        new = staged(verified(staged(pairs), texts, n))
         distances = new if distances is None else distances.union(new)
         label = staged(connected(distances.filter(linked).select("a", "b"), spots.select("doc_id").distinct()))
     reached = member.join(label.select(F.col("doc_id").alias("rep"), "component"), "rep", "left").select(
@@ -300,24 +313,123 @@ def join(docs: DataFrame, n: int = N, p: int = NUMERATOR, q: int = DENOMINATOR)
     )
 
 
-def _rest(spots: DataFrame, distances: DataFrame, p: int, q: int) -> DataFrame:
-    """Pairs of a class in different components that their distances to the class's first hub allow.
+def width_for(n: int, p: int, q: int) -> int:
+    """Segments of a sketch for sets of up to n n-grams: three times the differences of a link."""
+    return 1 << max(3, (3 * (2 * n * (q - p) // (q + p) + 1) - 1).bit_length())
 
-    d(x, y) >= |d(h, x) - d(h, y)|, so pairs whose distances to a hub differ by more than the
-    largest linked distance are none.
+
+def sketch(shingles: np.ndarray, width: int) -> bytes:
+    """A byte of each segment's content.
+
+    An n-gram that two sets don't share changes one segment at most, so the number of unequal
+    bytes never exceeds the number of n-grams in which the sets differ.
     """
-    far = 1 - p / q
-    known = distances.select("a", "b", (1 - F.col("common") / (F.col("n_a") + F.col("n_b") - F.col("common"))).alias("d"))
-    both = known.union(known.select(F.col("b").alias("a"), F.col("a").alias("b"), "d"))
-    first = Window.partitionBy("signature")
-    at = spots.withColumn("first", F.min("doc_id").over(first))
-    at = at.join(both.withColumnRenamed("a", "first").withColumnRenamed("b", "doc_id"), ["first", "doc_id"], "left")
-    at = at.select("signature", "doc_id", "component", "n", "probe", F.when(F.col("doc_id") == F.col("first"), 0.0).otherwise(F.col("d")).alias("d"))
-    x, y = at.alias("x"), at.alias("y")
-    return x.join(
-        y,
-        (F.col("x.signature") == F.col("y.signature")) & (F.col("x.doc_id") < F.col("y.doc_id"))
-        & (F.col("x.component") != F.col("y.component")) & (F.col("x.probe") | F.col("y.probe"))
-        & (F.col("x.n") * q >= F.col("y.n") * p) & (F.col("y.n") * q >= F.col("x.n") * p)
-        & (F.col("x.d").isNull() | F.col("y.d").isNull() | (F.abs(F.col("x.d") - F.col("y.d")) <= far + 1e-9)),
-    ).select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"))
+    spread = mix(shingles ^ np.uint64(0x3C3C3C3C3C3C3C3C))
+    sums = np.zeros(width, np.uint64)
+    np.add.at(sums, (spread & np.uint64(width - 1)).astype(np.int64), spread)
+    return (mix(sums) >> np.uint64(56)).astype(np.uint8).tobytes()
+
+
+def _sketches(n: int):
+    def run(batches):
+        for batch in batches:
+            sets = shingle_sets(pa.Table.from_batches([batch]), n)
+            made = [sketch(s, w) for s, w in zip(sets, batch.column("width").to_pylist())]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("width"), pa.array(made, pa.binary())], names=["doc_id", "width", "sketch"]
+            )
+
+    return run
+
+
+def _close_pairs(p: int, q: int):
+    """Pairs of a class that their sketches allow, from rows sorted by class and block pair.
+
+    A pair that shares several classes is given by the least of them only.
+    """
+
+    def pairs_of(rows):
+        ids, parts, sizes = rows["doc_id"], rows["component"], rows["n"]
+        signature = rows["signature"][0]
+        own = rows["own"]
+        order = np.arange(len(ids))
+        left, right = (order, order) if rows["low"][0] == rows["high"][0] else (order[own == rows["low"][0]], order[own == rows["high"][0]])
+        if not len(left) or not len(right):
+            return []
+        bits = np.frombuffer(b"".join(rows["sketch"]), np.uint8).reshape(len(ids), -1)
+        other, out = bits[right], []
+        shared: dict[int, frozenset] = {}
+        for i in left.tolist():
+            near = (ids[right] > ids[i]) if left is right else np.ones(len(right), bool)
+            near = near & (parts[right] != parts[i]) & (rows["probe"][right] | rows["probe"][i])
+            near &= (sizes[right] * q >= sizes[i] * p) & (sizes[i] * q >= sizes[right] * p)
+            at = np.flatnonzero(near)
+            if len(at):
+                unequal = np.count_nonzero(other[at] != bits[i], axis=1)
+                at = at[unequal * (q + p) <= (sizes[right[at]] + sizes[i]) * (q - p)]
+            for j in right[at].tolist():
+                for k in (i, j):
+                    if k not in shared:
+                        shared[k] = frozenset(rows["classes"][k])
+                if min(shared[i] & shared[j]) == signature:
+                    out.append((min(ids[i], ids[j]), max(ids[i], ids[j])))
+        return out
+
+    names = ["signature", "low", "high", "own", "doc_id", "component", "n", "probe", "sketch", "classes"]
+
+    def run(batches):
+        held = None
+        for batch in _with_end(batches):
+            if batch is not None:
+                table = pa.Table.from_batches([batch]).select(names)
+                held = table if held is None else pa.concat_tables([held, table])
+            if held is None or not held.num_rows:
+                continue
+            key = [held[c].to_numpy() for c in names[:3]]
+            cut = np.flatnonzero(np.concatenate(([True], np.any([k[1:] != k[:-1] for k in key], axis=0))))
+            ready = cut if batch is None else cut[:-1]  # the last group may go on
+            found = []
+            for a, b in zip(ready, np.append(cut[1:], held.num_rows)):
+                part = held.slice(a, b - a)
+                rows = {c: part[c].to_numpy() for c in names[:8]}
+                rows |= {c: part[c].to_pylist() for c in names[8:]}
+                found += pairs_of(rows)
+            held = None if batch is None else held.slice(cut[-1])
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*found) if found else [[]] * 2)], names=["a", "b"])
+
+    return run
+
+
+def _with_end(batches):
+    yield from batches
+    yield None
+
+
+def _rest(spots: DataFrame, texts: DataFrame, n: int, p: int, q: int) -> DataFrame:
+    """All pairs of a class in different components that can be linked, by blocks of sketches.
+
+    A class of k members meets itself in blocks of at most BLOCK_ROWS; only pairs whose sketches
+    leave the link open go out.
+    """
+    top = spots.groupBy("signature").agg(F.max("n").alias("top"), F.count(F.lit(1)).alias("here"))
+    differences = F.expr(f"2 * top * {q - p} div {q + p}")
+    width = F.pow(F.lit(2), F.greatest(F.lit(3), F.ceil(F.log2(3 * (differences + 1))))).cast("long").alias("width")
+    rows = spots.select("signature", "doc_id", "n", "probe", "component").join(
+        top.select("signature", width, F.ceil(F.col("here") / BLOCK_ROWS).alias("blocks")), "signature"
+    )
+    rows = staged(rows)
+    classes = rows.groupBy("doc_id").agg(F.collect_set("signature").alias("classes"))
+    wanted = rows.select("doc_id", "width").distinct()
+    sketches = with_ids(texts, wanted.select("doc_id").distinct()).join(wanted, "doc_id").select("doc_id", "text", "width")
+    # joined by document first: the rows, many for each, then carry both in one shuffle
+    sketches = sketches.mapInArrow(_sketches(n), "doc_id long, width long, sketch binary").join(classes, "doc_id")
+    own = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).alias("own")
+    dealt = (
+        rows.select("*", own).select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("met"))
+        .withColumn("low", F.least("own", "met")).withColumn("high", F.greatest("own", "met"))
+        .join(sketches, ["doc_id", "width"])
+        .repartition("signature", "low", "high").sortWithinPartitions("signature", "low", "high", "doc_id")
+    )
+    return dealt.select("signature", "low", "high", "own", "doc_id", "component", "n", "probe", "sketch", "classes").mapInArrow(
+        _close_pairs(p, q), "a long, b long"
+    )

@@ -205,6 +205,35 @@ def test_ngram_join_near_the_threshold(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.join(df).collect()} == brute.ngram_components(rows)
 
 
+@pytest.mark.parametrize("block", [4, 2048])
+def test_ngram_join_of_large_classes(spark, monkeypatch, block):
+    """Variants of one text around the threshold, most pairs not linked, in blocks of any size."""
+    rng = random.Random(12)
+    base, rows = prose(rng, 120).split(), []
+    for i in range(90):
+        w = list(base)
+        for _ in range(rng.choice([1, 4, 5, 6, 7])):
+            w[rng.randrange(len(w))] = f"n{rng.randrange(10**6)}"
+        rows.append((i, " ".join(w)))
+    monkeypatch.setattr(ngram_join, "BLOCK_ROWS", block)
+    monkeypatch.setattr(ngram_join, "HUB_ROUNDS", 1)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = brute.ngram_components(rows)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.join(df).collect()} == want
+    assert 2 < len({c for _, c in want.values()})
+
+
+def test_sketches_bound_the_differences():
+    rng = np.random.default_rng(13)
+    for n in (1, 9, 100, 1500):
+        a = rng.integers(0, 1 << 62, n).astype(np.uint64)
+        b = np.concatenate((a[: n - n // 5], rng.integers(0, 1 << 62, n // 7).astype(np.uint64)))
+        width = ngram_join.width_for(n, 85, 100)
+        unequal = sum(x != y for x, y in zip(ngram_join.sketch(a, width), ngram_join.sketch(b, width)))
+        assert unequal <= len(set(a.tolist()) ^ set(b.tolist()))
+        assert width >= 8 and width & (width - 1) == 0
+
+
 def test_ngram_join_awkward_rows(spark):
     rows = [(3, "a b c d e"), (3, "a b c d e"), (1, "A b C d e"), (None, "a b c d e"), (9, None), (8, "")]
     got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.join(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=str)
