@@ -2,7 +2,7 @@
 
 1. ``vocabulary``: from a bounded sample of labelled rows (``SAMPLE`` rows), the terms whose
    presence is tied most strongly to the label (likelihood ratio), at most ``TERMS`` of them,
-   less those that better terms explain.
+   less those of clean rows too that better terms explain.
    Terms are words and word beginnings of 4 to 6 letters, which catches inflected forms.
 2. One pass turns every whole text into counts of these terms; document frequencies for the
    weights are taken over all documents.
@@ -31,6 +31,7 @@ SAMPLE = 8192
 TERMS = 4096
 LEAST_RATIO = 20.0  # of the likelihood ratio statistic, about one in 10^5 by chance
 LEAST_DOCS = 4
+TOXIC_TO_CLEAN = 20  # toxic rows to a clean one from which on no better term explains a term away
 BLOCK = 64
 COUNTED_TERMS = 1 << 17  # terms that one task counts before it hands them on
 NEIGHBOURS = 15
@@ -120,9 +121,10 @@ def vocabulary(docs: DataFrame, sample: list) -> list[str]:
 
 
 def _unexplained(terms: list[str], held: list[tuple[set[int], bool]]) -> list[str]:
-    """Terms that still tell toxic rows apart among rows without any better term.
+    """Terms less those of clean rows too that tell nothing among rows without any better term.
 
     Words that merely stand in copies of toxic rows are explained by those rows' telling terms.
+    A term with next to no clean rows stays, though it may always stand beside better ones.
     """
     rows_of: dict[int, list[int]] = {}
     for i, (own, _) in enumerate(held):
@@ -133,13 +135,17 @@ def _unexplained(terms: list[str], held: list[tuple[set[int], bool]]) -> list[st
     n_clean = len(held) - n_toxic
     kept = []
     for t, name in enumerate(terms):
-        rows = [i for i in rows_of.get(t, ()) if i in open_rows]
+        every = rows_of.get(t, ())
+        rows = [i for i in every if i in open_rows]
         a = sum(held[i][1] for i in rows)
         b = len(rows) - a
+        toxic = sum(held[i][1] for i in every)
         if n_toxic and n_clean and a * n_clean > b * n_toxic and likelihood_ratio(a, b, n_toxic, n_clean) >= LEAST_RATIO:
             kept.append(name)
             open_rows.difference_update(rows)
             n_toxic, n_clean = n_toxic - a, n_clean - b
+        elif toxic >= (len(every) - toxic) * TOXIC_TO_CLEAN:
+            kept.append(name)
     return kept
 
 

@@ -468,6 +468,26 @@ def test_toxicity(spark):
     assert toxicity.score(docs.limit(0), labels, lambda c: F.lit(True)).count() == 0
 
 
+def test_terms_beside_stronger_ones_stay(spark):
+    """A held-out text is toxic by a term that the labelled rows hold beside stronger terms only."""
+    rng = random.Random(14)
+    rows, labels = [], []
+    for i in range(600):
+        bad = i % 6 == 0
+        # one row labelled wrongly holds a weaker term alone
+        insults = ["scum", "idiot", *(["moron"] if i % 12 else []), *(["clown"] if i % 24 else [])] if bad else ["moron"] if i == 1 else []
+        rows.append((i, " ".join([prose(rng, 40), *insults])))
+        labels.append((i, int(bad)))
+    rows += [(1000, prose(rng, 40) + " moron"), (1001, prose(rng, 40) + " clown"), (1002, prose(rng, 40))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    scored = toxicity.score(docs, spark.createDataFrame(labels, "doc_id long, toxic int"), lambda c: c < 1000)
+    got = {r.doc_id: r for r in scored.filter("doc_id >= 1000").collect()}
+    assert [got[i].predicted for i in (1000, 1001, 1002)] == [1, 1, 0]
+    # terms that stand in clean rows too are still explained by better ones
+    held = [({0, 1}, True)] * 30 + [({1}, False)] * 20 + [(set(), False)] * 200
+    assert toxicity._unexplained(["scum", "prose"], held) == ["scum"]
+
+
 def test_block_max_search_is_exact():
     rng = random.Random(11)
     vectors = []
