@@ -345,7 +345,7 @@ def _sketches(n: int):
 def _close_pairs(p: int, q: int):
     """Pairs of a class that their sketches allow, from rows sorted by class and block pair.
 
-    A pair that shares several classes is given by the least of them only.
+    A pair that shares several classes is given only by the least of those that either probes.
     """
 
     def pairs_of(rows):
@@ -358,7 +358,8 @@ def _close_pairs(p: int, q: int):
             return []
         bits = np.frombuffer(b"".join(rows["sketch"]), np.uint8).reshape(len(ids), -1)
         other, out = bits[right], []
-        shared: dict[int, frozenset] = {}
+        probed: dict[int, frozenset] = {}
+        listed: dict[int, frozenset] = {}
         for i in left.tolist():
             near = (ids[right] > ids[i]) if left is right else np.ones(len(right), bool)
             near = near & (parts[right] != parts[i]) & (rows["probe"][right] | rows["probe"][i])
@@ -369,13 +370,14 @@ def _close_pairs(p: int, q: int):
                 at = at[unequal * (q + p) <= (sizes[right[at]] + sizes[i]) * (q - p)]
             for j in right[at].tolist():
                 for k in (i, j):
-                    if k not in shared:
-                        shared[k] = frozenset(rows["classes"][k])
-                if min(shared[i] & shared[j]) == signature:
+                    if k not in probed:
+                        probed[k] = frozenset(rows["probed"][k])
+                        listed[k] = probed[k].union(rows["skipped"][k])
+                if min((probed[i] & listed[j]) | (listed[i] & probed[j])) == signature:
                     out.append((min(ids[i], ids[j]), max(ids[i], ids[j])))
         return out
 
-    names = ["signature", "low", "high", "own", "doc_id", "component", "n", "probe", "sketch", "classes"]
+    names = ["signature", "low", "high", "own", "doc_id", "component", "n", "probe", "sketch", "probed", "skipped"]
 
     def run(batches):
         held = None
@@ -418,7 +420,10 @@ def _rest(spots: DataFrame, texts: DataFrame, n: int, p: int, q: int) -> DataFra
         top.select("signature", width, F.ceil(F.col("here") / BLOCK_ROWS).alias("blocks")), "signature"
     )
     rows = staged(rows)
-    classes = rows.groupBy("doc_id").agg(F.collect_set("signature").alias("classes"))
+    classes = rows.groupBy("doc_id").agg(
+        F.collect_set(F.when(F.col("probe"), F.col("signature"))).alias("probed"),
+        F.collect_set(F.when(~F.col("probe"), F.col("signature"))).alias("skipped"),
+    )
     wanted = rows.select("doc_id", "width").distinct()
     sketches = with_ids(texts, wanted.select("doc_id").distinct()).join(wanted, "doc_id").select("doc_id", "text", "width")
     # joined by document first: the rows, many for each, then carry both in one shuffle
@@ -430,6 +435,6 @@ def _rest(spots: DataFrame, texts: DataFrame, n: int, p: int, q: int) -> DataFra
         .join(sketches, ["doc_id", "width"])
         .repartition("signature", "low", "high").sortWithinPartitions("signature", "low", "high", "doc_id")
     )
-    return dealt.select("signature", "low", "high", "own", "doc_id", "component", "n", "probe", "sketch", "classes").mapInArrow(
+    return dealt.select("signature", "low", "high", "own", "doc_id", "component", "n", "probe", "sketch", "probed", "skipped").mapInArrow(
         _close_pairs(p, q), "a long, b long"
     )

@@ -223,6 +223,29 @@ def test_ngram_join_of_large_classes(spark, monkeypatch, block):
     assert 2 < len({c for _, c in want.values()})
 
 
+def test_rest_of_a_class_that_both_members_skip(spark):
+    """The least class that a pair shares is probed by a third member only."""
+    text = prose(random.Random(15), 60)
+    spots = [(1, 10, False), (1, 11, False), (1, 12, True), (2, 10, True), (2, 11, False), (2, 12, True), (3, 10, True), (3, 11, True)]
+    spots = spark.createDataFrame([(s, d, 57, p, d) for s, d, p in spots], "signature long, doc_id long, n long, probe boolean, component long")
+    texts = spark.createDataFrame([(10, text), (11, text + " end"), (12, text + " last")], "doc_id long, text string")
+    got = [tuple(r) for r in ngram_join._rest(spots, texts, 4, 85, 100).collect()]
+    assert sorted(got) == [(10, 11), (10, 12), (11, 12)]
+
+
+def test_ngram_join_of_long_variants(spark):
+    """Variants of one long text, many of whose shared classes both members skip."""
+    rng = random.Random(16)
+    base, rows = prose(rng, 1000, 10**6).split(), []
+    for i in range(90):
+        w = list(base)
+        for _ in range(rng.randrange(20, 50) if i else 0):
+            w[rng.randrange(len(w))] = f"n{rng.randrange(10**6)}"
+        rows.append((i + 1 if i else 500, " ".join(w)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.join(df).collect()} == brute.ngram_components(rows)
+
+
 def test_sketches_bound_the_differences():
     rng = np.random.default_rng(13)
     for n in (1, 9, 100, 1500):
