@@ -7,7 +7,8 @@ identifier; matches stay inside one document, strings are judged on the input.
    the strings whose anchor occurs in several documents; the rest can't recur.
 2. A pack sends the context of each such anchor (the bytes of all strings it anchors), equal
    contexts once with their least document.  Contexts of one anchor meet in a bucket; those of
-   an anchor met in more than ``HOT`` places are sent string by string, dealt out by content.
+   an anchor with 4,096 and more contexts, counted pack by pack, are sent string by string,
+   dealt out by content.  Such strings are equal or not and need no merging.
 3. Where the contexts of an anchor are all equal, the least document decides.  The others of a
    bucket are cut into shards; each shard's transform is built once, and the transforms are
    merged by refining their interleave one symbol at a time.  The blocks of the interleave
@@ -34,9 +35,11 @@ from .arrays import BYTE_VALUES, anchored_runs, covered, runs_of, text_buffers
 
 SIZE = 50
 ANCHOR = 20
-HOT = 128 + 5  # the code of 4,096 and more documents
+HOT = 128 + 5  # the code of 4,096 and more contexts
+FEW_PLACES = 64  # up to so many in a pack, an anchor's places count as contexts
+SEVERAL = 128  # marks a pack's count of an anchor that several of its documents hold
 SHARD_SYMBOLS = 1 << 17
-SHARDS = 8  # merged at once; a batch is at most that many shards
+SHARDS = 8  # merged at once; a batch is at most about that many shards
 LAST_ID = np.int64((1 << 63) - 1)
 _CONTEXTS = "pack long, bucket long, anchors binary, docs binary, sizes binary, bytes binary"
 _CONTEXT_SCHEMA = pa.schema(
@@ -85,7 +88,10 @@ def merged_blocks(transforms: list[np.ndarray], depth: int) -> tuple[np.ndarray,
     """
     joined = np.concatenate(transforms)
     n = len(joined)
-    shard = np.repeat(np.arange(len(transforms), dtype=np.uint8), [len(t) for t in transforms])
+    if len(transforms) > 1 << 16 or n > np.iinfo(np.int32).max:
+        raise ValueError(f"{len(transforms)} shards of {n} symbols are too many to merge at once")
+    number = np.uint8 if len(transforms) <= 1 << 8 else np.uint16
+    shard = np.repeat(np.arange(len(transforms)).astype(number), [len(t) for t in transforms])
     place = np.arange(n, dtype=np.int32)
     block = np.zeros(n, np.int32)
     counter = np.arange(n, dtype=np.int32)
@@ -141,6 +147,34 @@ def least_in_block(contexts: list[bytes], docs: np.ndarray, size: int) -> list[n
 # ----------------------------------------------------------------------------- Spark stages
 
 
+def packed_counts(contexts: np.ndarray, several: np.ndarray) -> np.ndarray:
+    """A byte each: contexts, exact below 96 and the next power of two above, and whether several documents hold them."""
+    above = 90 + np.ceil(np.log2(np.maximum(contexts, 1))).astype(np.int64)
+    return np.where(contexts < 96, contexts, above) + SEVERAL * several
+
+
+def answered(table):
+    """One bucket: for every key 1 if one document holds it, else the code of its contexts, 2 at least."""
+    keys = [np.frombuffer(x.as_py(), np.uint64) for x in table["keys"]]
+    counts = np.concatenate([np.frombuffer(x.as_py(), np.uint8) for x in table["counts"]]).astype(np.int64)
+    every = np.concatenate(keys)
+    order = np.argsort(every, kind="stable")
+    ordered = every[order]
+    first = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
+    low = counts[order] % SEVERAL
+    total = np.add.reduceat(np.where(low < 96, low, 1 << np.maximum(low - 90, 0)), first)
+    held = np.add.reduceat(1 + counts[order] // SEVERAL, first)
+    code = np.where(total < 128, total, 121 + np.log2(total).astype(np.int64))
+    code = np.where(held < 2, 1, np.maximum(code, 2)).astype(np.uint8)
+    codes = np.empty(len(every), np.uint8)
+    codes[order] = np.repeat(code, np.diff(np.append(first, len(every))))
+    edge = np.cumsum([0, *map(len, keys)])
+    return pa.table(
+        [table["pack"], table["bucket"], pa.array([codes[a:b].tobytes() for a, b in zip(edge[:-1], edge[1:])], pa.binary())],
+        schema=packs._ANSWER,
+    )
+
+
 class _Pack:
     """Bytes and anchored strings of one pack."""
 
@@ -158,11 +192,16 @@ class _Pack:
             for i, t in ((0, np.uint64), (1, np.int64), (2, np.int64))
         )
         self.row = np.searchsorted(self.offsets, self.first, side="right") - 1
-        # a document counts once for an anchor
-        order = np.lexsort((self.ids[self.row], self.anchor))
-        a, d = self.anchor[order], self.ids[self.row][order]
-        fresh = np.concatenate(([True], (a[1:] != a[:-1]) | (d[1:] != d[:-1]))) if len(a) else np.zeros(0, bool)
-        self.keys, self.counts = packs.distinct(a[fresh])
+        self.keys, places = packs.distinct(self.anchor)
+        order = np.argsort(self.anchor, kind="stable")
+        edge = np.concatenate(([0], np.cumsum(places)))
+        own = self.ids[self.row][order]
+        several = (np.minimum.reduceat(own, edge[:-1]) != np.maximum.reduceat(own, edge[:-1])) if len(own) else np.zeros(0, bool)
+        for k in np.flatnonzero(places > FEW_PLACES):
+            runs = order[edge[k] : edge[k + 1]]
+            ends = (self.last[runs] + size - 1).tolist()
+            places[k] = len({self.data[x:y].tobytes() for x, y in zip(self.first[runs].tolist(), ends)})
+        self.counts = packed_counts(places, several)
 
     def contexts(self, codes: np.ndarray):
         """Distinct (anchor, context) entries with their least document, and who holds them."""
@@ -244,11 +283,14 @@ def _judge(size: int):
         batch, symbols = [], 0
         for h, n in zip(heads[group > 1].tolist(), group[group > 1].tolist()):
             members = order[h : h + n].tolist()
-            batch += members
-            symbols += sum(len(strings[m]) + 1 for m in members)
-            if symbols > SHARDS * SHARD_SYMBOLS:
+            more = sum(len(strings[m]) + 1 for m in members)
+            if more == n * (size + 1):
+                continue  # distinct single strings, whose least documents are known
+            if batch and symbols + more > SHARDS * SHARD_SYMBOLS:
                 _settle(batch, strings, least, size, holders)
                 batch, symbols = [], 0
+            batch += members
+            symbols += more
         if batch:
             _settle(batch, strings, least, size, holders)
         bits = np.uint64(1) << np.arange(size, dtype=np.uint64)
@@ -314,7 +356,8 @@ def remove_repeated_bytes(docs: DataFrame, size: int = SIZE) -> DataFrame:
     n_filter = packs.buckets_for(total, 2.0 / (size - min(ANCHOR, size) + 2), 9)
     n_buckets = packs.buckets_for(total, 1.0, 1)
     dealt = packs.in_packs(docs, total)
-    answers = packs.recurrence(dealt.groupBy("pack").applyInArrow(_ask(n_filter, size), packs.SENT))
+    asked = dealt.groupBy("pack").applyInArrow(_ask(n_filter, size), packs.SENT)
+    answers = asked.groupBy("bucket").applyInArrow(answered, packs.ANSWER)
     contexts = dealt.groupBy("pack").cogroup(answers.groupBy("pack")).applyInArrow(_send(n_filter, n_buckets, size), _CONTEXTS)
     masks = contexts.groupBy("bucket").applyInArrow(_judge(size), packs.ANSWER)
     both = answers.withColumn("kind", F.lit("filter")).union(masks.withColumn("kind", F.lit("masks")))

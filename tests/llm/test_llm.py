@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 import brute
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -344,6 +345,44 @@ def test_merged_transforms_give_the_repeated_intervals():
     assert [g.tolist() for g in got] == [[want[c[i : i + 6]] for i in range(len(c) - 5)] for c in contexts]
 
 
+def test_anchors_of_few_documents_and_many_places(monkeypatch):
+    """Two log-like documents whose lines share bytes: their anchors are dealt out string by string."""
+    rng = random.Random(17)
+    shared = "GET /index.html HTTP/1.1 status 200 from"
+    line = lambda: f"{rng.randrange(10**9):09d} {shared} {rng.randrange(10**9):09d}"
+    lines = [line() for _ in range(300)]
+    rows = [(1, "\n".join(lines)), (2, "\n".join([line() for _ in range(300)] + lines[::3])), (3, "short")]
+    monkeypatch.setattr(bwt_merge, "HOT", 127)
+    # the steps of one pack and one bucket, in this process
+    key, table = (pa.scalar(0),), pa.table({"doc_id": [i for i, _ in rows], "text": [t for _, t in rows]})
+    answers = getattr(bwt_merge, "answered", packs.answered)(bwt_merge._ask(1, 50)(key, table))
+    pack = bwt_merge._Pack(table, 50)
+    codes = np.frombuffer(answers["codes"][0].as_py(), np.uint8)
+    assert (codes >= bwt_merge.HOT).any()
+    _, _, _, _, anchors, texts, _, where = pack.contexts(codes)
+    hot = np.isin(anchors, pack.keys[codes >= bwt_merge.HOT])
+    assert {len(t) for t, h in zip(texts, hot) if h} == {50} and len(set(where[hot].tolist())) > 300
+    masks = bwt_merge._judge(50)(bwt_merge._send(1, 1, 50)(key, table, answers))
+    both = pa.concat_tables([t.append_column("kind", pa.array([k] * t.num_rows)) for t, k in ((answers, "filter"), (masks, "masks"))])
+    got = bwt_merge._remove(1, 1, 50)(key, table, both).to_pylist()
+    assert [tuple(r.values()) for r in got] == brute.byte_repeats(rows, 50)
+
+
+def test_more_shards_than_a_byte_counts(monkeypatch):
+    rng = random.Random(18)
+    contexts = ["".join(rng.choice("ab") for _ in range(20)).encode() for _ in range(700)]
+    docs = np.array([rng.randrange(400) for _ in contexts])
+    want = defaultdict(lambda: 10**9)
+    for c, d in zip(contexts, docs):
+        for i in range(len(c) - 5):
+            want[c[i : i + 6]] = min(want[c[i : i + 6]], d)
+    monkeypatch.setattr(bwt_merge, "SHARD_SYMBOLS", 30)
+    got = bwt_merge.least_in_block(contexts, docs, 6)
+    assert [g.tolist() for g in got] == [[want[c[i : i + 6]] for i in range(len(c) - 5)] for c in contexts]
+    with pytest.raises(ValueError):
+        bwt_merge.merged_blocks([np.zeros(1, np.uint16)] * ((1 << 16) + 1), 1)
+
+
 # ------------------------------------------------------------------------- 5: contamination
 
 
