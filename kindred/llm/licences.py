@@ -7,6 +7,12 @@ dice = 2 |A n B| / (|A| + |B|).  A template can reach the threshold t only if it
 t / (2 - t) times the unit's and the inverse, so most units meet few templates or none; units
 without any bigram of the templates are passed over.
 
+Templates also stand inside longer lines and across lines and paragraphs: every stretch of words
+that begins and ends with a bigram of a template is a unit too, where the size bound and the
+number of the template's bigrams allow the threshold.  Of stretches that overlap, the one with
+most common bigrams counts; one that overlaps a hit of at least half its words does not count
+again.  Templates of one word are compared with whole units only.
+
 Null and empty texts have no units.  Ties of a document's best match go to the template named
 first.  Rows are judged one by one.  Templates are a parameter; they are broadcast, and more
 than ``TEMPLATE_BYTES`` of text in them is an error.
@@ -14,6 +20,7 @@ than ``TEMPLATE_BYTES`` of text in them is an error.
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 
@@ -92,6 +99,27 @@ def units(text: str) -> list[str]:
     return out
 
 
+def placed(text: str) -> tuple[list[str], list[tuple[int, int]]]:
+    """The words of a text, and where each of its ``units`` begins and ends among them."""
+    words: list[str] = []
+    lines, paragraphs, first = [], [], None
+    for x in text.split("\n"):
+        at = len(words)
+        words += _WORD.findall(x.lower())
+        if x.strip():
+            lines.append((at, len(words)))
+            first = len(lines) - 1 if first is None else first
+        elif first is not None:
+            paragraphs.append((first, len(lines)))
+            first = None
+    if first is not None:
+        paragraphs.append((first, len(lines)))
+    out = lines + [(lines[a][0], lines[b - 1][1]) for a, b in paragraphs if b - a > 1]
+    if len(paragraphs) > 1:
+        out.append((0, len(words)))
+    return words, out
+
+
 class Templates:
     def __init__(self, texts: dict[str, str], threshold: float):
         self.threshold = threshold
@@ -101,6 +129,11 @@ class Templates:
         self.ratio = threshold / (2 - threshold)
         self.largest = max(sizes, default=0) / self.ratio + 1
         self.of_size: dict[int, list[int]] = {}
+        self.holders: dict[tuple[str, str], list[int]] = {}
+        for i, (_, bag, _) in enumerate(self.bags):
+            for g in bag:
+                if g[1]:
+                    self.holders.setdefault(g, []).append(i)
 
     def candidates(self, n: int) -> list[int]:
         """Templates whose size allows the threshold for a unit of n bigrams."""
@@ -112,9 +145,50 @@ class Templates:
             self.of_size[n] = found
         return found
 
-    def best(self, unit: str) -> tuple[float, int] | None:
-        """The best template of a unit and its coefficient, if it reaches the threshold."""
-        found = _WORD.findall(unit.lower())
+    def hits(self, text: str) -> list[tuple[float, int]]:
+        """Coefficients and templates of the units and of the stretches inside longer ones."""
+        words, places = placed(text)
+        found = [(h, a, b) for a, b in places if (h := self.best(words[a:b]))]
+        stretches = self.stretches(words)
+        for _, dice, i, a, b in sorted(stretches, key=lambda x: (-x[0], -x[1], x[2], x[3])):
+            if not any(x < b and a < y and 2 * (y - x) >= b - a for _, x, y in found):
+                found.append(((dice, i), a, b))
+        return [h for h, _, _ in found]
+
+    def stretches(self, words: list[str]) -> list[tuple[int, float, int, int, int]]:
+        """(common bigrams, dice, template, first word, end) of the best stretch from each bigram on."""
+        at: dict[int, list[int]] = {}
+        pairs = list(zip(words, words[1:]))
+        for k, g in enumerate(pairs):
+            for i in self.holders.get(g, ()):
+                at.setdefault(i, []).append(k)
+        out = []
+        for i, own in at.items():
+            _, bag, m = self.bags[i]
+            need = math.ceil(m * self.ratio - 1e-9)  # common bigrams that the least stretch has
+            longest = int(m / self.ratio + 1e-9)
+            for x in range(len(own) - need + 1):
+                if own[x + need - 1] - own[x] >= longest:
+                    continue
+                left, common, best = {}, 0, None
+                for k in own[x:]:
+                    size = k - own[x] + 1
+                    if size > longest:
+                        break
+                    g = pairs[k]
+                    n = left.get(g, bag[g])
+                    if n:
+                        left[g] = n - 1
+                        common += 1
+                        dice = 2 * common / (m + size)
+                        if dice >= self.threshold and (best is None or dice > best[1]):
+                            best = common, dice, i, own[x], k + 2
+                if best:
+                    out.append(best)
+        return out
+
+    def best(self, found: list[str]) -> tuple[float, int] | None:
+        """The best template of a unit's words and its coefficient, if it reaches the threshold."""
         if not found:
             return None
         pairs = list(zip(found, found[1:])) or [(found[0], "")]
@@ -143,7 +217,7 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, threshold: fl
         for batch in batches:
             out = []
             for text in batch.column("text"):
-                hits = [h for u in units(text.as_py() or "") if (h := known.best(u))]
+                hits = known.hits(text.as_py() or "")
                 top = min(hits, key=lambda h: (-h[0], h[1]), default=None)
                 names = [known.bags[i][0] for i in sorted({i for _, i in hits})]
                 out.append((known.bags[top[1]][0] if top else None, top[0] if top else None, len(hits), names))

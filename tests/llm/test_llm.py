@@ -481,6 +481,27 @@ def test_licences(spark):
         licences.scan(empty(spark), {"x": "y" * (licences.TEMPLATE_BYTES + 1)})
 
 
+def test_licences_inside_longer_texts(spark):
+    rng = random.Random(19)
+    mit, header = licences.TEMPLATES["MIT"], licences.TEMPLATES["Apache-2.0-header"]
+    cut = lambda t, *at: "\n\n".join(t[a:b] for a, b in zip((0, *at), (*at, len(t))))
+    w = mit.split()
+    rows = [
+        (1, cut(mit, mit.index("The above copyright"), mit.index("THE SOFTWARE IS")) + "\n\n" + prose(rng, 1000)),
+        (2, prose(rng, 500) + "\n\n" + cut(header, header.index("You may obtain"), header.index("Unless")) + "\n\n" + prose(rng, 500)),
+        (3, "Notes on the build. Released under the MIT License. See the wiki for all that is not said here, and ask."),
+        (4, "Some words before it, released under\nthe MIT License. And then the paragraph goes on and on and on\nfor lines and more lines."),
+        (5, prose(rng, 300) + "\n\n" + " ".join([*w[:80], *(f"v{i}" for i in range(35)), *w[80:]]) + " " + prose(rng, 300)),
+        (6, prose(rng, 300) + " This work is licensed under the GNU General Public License, version 2. " + prose(rng, 300)),
+        (7, "The license of the software is under the terms of others. " * 50),
+    ]
+    got = [(r.licence, r.n_matches) for r in licences.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert got == [("MIT", 1), ("Apache-2.0-header", 1), ("MIT-notice", 1), ("MIT-notice", 1), ("MIT", 1), ("GPL-2.0-notice", 1), (None, 0)]
+    for _, text in corpus()[1:]:
+        words, places = licences.placed(text or "")
+        assert [words[a:b] for a, b in places] == [licences._WORD.findall(u.lower()) for u in licences.units(text or "")]
+
+
 # ------------------------------------------------------------------------------------ 9: chats
 
 
