@@ -121,15 +121,22 @@ def match(
 
     strict = staged(best_names(left_names, right_names, cfg))
     found = _picked(strict, r, (BLOCK, NAME), cfg).withColumn("country_match", F.lit(True))
+    matched = strict.select(BLOCK, F.col("_left_name").alias(NAME))
     if cfg.relax_country:
         missed = unmatched_names(left_names, strict)
         wide = _picked(relaxed_names(missed, right_names, cfg), r, (NAME,), cfg).drop(BLOCK)
         wide = missed.join(wide, NAME).withColumn("country_match", F.lit(False))
         found = found.unionByName(wide)
+        matched = matched.unionByName(missed.filter(F.col(NAME) != "").select(BLOCK, NAME))
 
     name, country = f"left_{cfg.left_name_col}", f"left_{cfg.left_country_col}"
-    # Nameless rows match nothing, so they need no numbers.
-    rows = with_ordinal(l.filter(F.col(NAME) != ""), [name, country], hot_groups(left_names))
+    # Only rows of names that can match need numbers; nameless ones never do (the strict
+    # pass has none).  No filter may hold for all matched names: Catalyst would infer it
+    # for the rows too and push it into their normalisation, substituting every step into
+    # every other.  A union keeps only what holds on both sides.
+    matched = staged(matched.distinct())
+    wanted = lambda rows: rows.join(matched, [BLOCK, NAME], "left_semi")
+    rows = with_ordinal(wanted(l), [name, country], hot_groups(wanted(left_names)))
     found, keys = spread(found, rows)
     # Copies of a left row share their matches, so the rank among all of them has a closed
     # form: everything scored higher, then equal scores of earlier copies, then own order.

@@ -247,3 +247,12 @@ def test_score_column(spark):
         assert got == pytest.approx(want) if None not in want else [g is None for g in got] == [w is None for w in want]
     with pytest.raises(ValueError):
         kd.score_column("soundex", F.col("l"), F.col("r"))
+
+
+@pytest.mark.parametrize("relax", [False, True])
+def test_plans_stay_small(spark, data, relax):
+    """The left rows are normalised once in the plan: no filter is pushed into the steps."""
+    cfg = replace(CFG, relax_country=relax, score_threshold=60.0)
+    result = kd.match(*data, cfg)
+    plan = result._jdf.queryExecution().optimizedPlan().toString()
+    assert len(plan) < 300_000
