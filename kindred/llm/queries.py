@@ -6,9 +6,12 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from ..deploy import ship
-from . import bpe, bwt_merge, chat, decontaminate, graph_ann, licences, ngram_join, quality, substrings, toxicity
+from . import (
+    bpe, bwt_merge, chat, decontaminate, graph_ann, licences, ngram_join, quality, substrings, token_counts, toxicity,
+)
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+COUNTED = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def table(spark, folder: str, name: str):
@@ -81,6 +84,11 @@ def op10_toxicity(spark, d):
     )
 
 
+def op13_token_counts(spark, d):
+    ship(spark)
+    return token_counts.count_tokens(table(spark, d, "documents"), COUNTED, limit=512)
+
+
 def queries():
     return {
         "op1_bpe": op1_bpe,
@@ -93,6 +101,7 @@ def queries():
         "op8_licence_scan": op8_licence_scan,
         "op9_chat_format": op9_chat_format,
         "op10_toxicity": op10_toxicity,
+        "op13_token_counts": op13_token_counts,
     }
 
 
