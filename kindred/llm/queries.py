@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..deploy import ship
 from . import (
     bpe, bwt_merge, chat, decontaminate, graph_ann, licences, ngram_join, quality, substrings, token_counts, toxicity,
+    vector_codes,
 )
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -84,6 +85,11 @@ def op10_toxicity(spark, d):
     )
 
 
+def op12_vector_codes(spark, d):
+    ship(spark)
+    return vector_codes.compress(table(spark, d, "embeddings"), rounds=4, entries=256)
+
+
 def op13_token_counts(spark, d):
     ship(spark)
     return token_counts.count_tokens(table(spark, d, "documents"), COUNTED, limit=512)
@@ -101,6 +107,7 @@ def queries():
         "op8_licence_scan": op8_licence_scan,
         "op9_chat_format": op9_chat_format,
         "op10_toxicity": op10_toxicity,
+        "op12_vector_codes": op12_vector_codes,
         "op13_token_counts": op13_token_counts,
     }
 
