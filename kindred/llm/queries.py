@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from ..deploy import ship
 from . import (
-    bpe, bwt_merge, chat, decontaminate, graph_ann, licences, ngram_join, quality, substrings, token_counts, toxicity,
-    vector_codes,
+    bpe, bwt_merge, chat, collocations, decontaminate, graph_ann, licences, ngram_join, quality, substrings, token_counts,
+    toxicity, vector_codes,
 )
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -85,6 +85,11 @@ def op10_toxicity(spark, d):
     )
 
 
+def op11_collocations(spark, d):
+    ship(spark)
+    return collocations.collocations(table(spark, d, "documents"), least=10, top=2000)
+
+
 def op12_vector_codes(spark, d):
     ship(spark)
     return vector_codes.compress(table(spark, d, "embeddings"), rounds=4, entries=256)
@@ -107,6 +112,7 @@ def queries():
         "op8_licence_scan": op8_licence_scan,
         "op9_chat_format": op9_chat_format,
         "op10_toxicity": op10_toxicity,
+        "op11_collocations": op11_collocations,
         "op12_vector_codes": op12_vector_codes,
         "op13_token_counts": op13_token_counts,
     }
