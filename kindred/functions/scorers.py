@@ -10,6 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..config import SCORERS
+from . import native
 from .scoring import score_pairs, two_sides
 
 
@@ -37,4 +38,6 @@ def score_column(scorer: str, left: Column, right: Column) -> Column:
     """
     if scorer not in SCORERS and scorer != "ratio":
         raise ValueError(f"unknown scorer {scorer!r}; choose one of {', '.join(SCORERS)}")
+    if scorer in native.NATIVE:
+        return native.native_score(scorer, left, right)
     return _udf(scorer)(left, right)

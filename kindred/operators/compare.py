@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import native
 from ..functions.scoring import best_pairs
 from .rows import BLOCK, NAME, POSITION, top_rows
 
@@ -68,6 +69,8 @@ def best_names(left: DataFrame, right: DataFrame, cfg) -> DataFrame:
     per left name and tile, merged by one more top-n.
     """
     scorer, threshold, top_n = cfg.scorer, cfg.score_threshold, cfg.top_n
+    if scorer in native.NATIVE:
+        return _native_best(left, right, cfg)
     position = right.schema[POSITION].dataType.simpleString()
     schema = f"{BLOCK} string, _left_name string, _right_name string, _score double, {POSITION} {position}"
     columns = [BLOCK, "_left_name", "_right_name", "_score", POSITION]
@@ -96,3 +99,56 @@ def best_names(left: DataFrame, right: DataFrame, cfg) -> DataFrame:
     scored = left_tiles.groupBy(*TILE).cogroup(right_tiles.groupBy(*TILE)).applyInPandas(compare, schema)
     order = [F.desc("_score"), F.col(POSITION), F.col("_right_name")]
     return top_rows(scored, [BLOCK, "_left_name"], order, top_n).drop("_nth")
+
+
+def _features(names: DataFrame, scorer: str) -> DataFrame:
+    """What a native scorer needs of one name, made once per distinct name."""
+    if scorer == "token_set_ratio":
+        return names.withColumn("_set", native.word_set(F.col(NAME)))
+    text = native.sorted_words(F.col(NAME)) if scorer == "token_sort_ratio" else F.col(NAME)
+    return (
+        names.withColumn("_text", text)
+        .withColumn("_mask", native.masks(F.col("_text")))
+        .withColumn("_chars", native.chars(F.col("_text")))
+        .withColumn("_len", F.length("_text"))
+        .drop("_text")
+    )
+
+
+def _native_best(left: DataFrame, right: DataFrame, cfg) -> DataFrame:
+    """``best_names`` for scorers written as Columns: tiles meet in an equi-join.
+
+    Pairs exist only in the task that joins two tiles; they are scored, cut at the
+    threshold and limited to ``top_n`` per left name before anything is shuffled.
+    For ratio-like scorers names of too unlike length are passed over before any LCS:
+    200 x min / (|a| + |b|) bounds the score.
+    """
+    scorer, threshold = cfg.scorer, cfg.score_threshold
+    left = _features(left.select(BLOCK, NAME).filter(F.col(NAME) != ""), scorer)
+    right = right.select(BLOCK, NAME, POSITION)
+    if threshold > 0:  # a nameless right row scores 0
+        right = right.filter(F.col(NAME) != "")
+    right = _features(right, scorer)
+    left_tiles, right_tiles = tiles(left, right, cfg.left_tile_rows, cfg.right_tile_rows)
+    own = [c for c in left_tiles.columns if c not in TILE]
+    other = [c for c in right_tiles.columns if c not in TILE]
+    pairs = left_tiles.select(*TILE, *[F.col(c).alias("l" + c) for c in own]).join(
+        right_tiles.select(*TILE, *[F.col(c).alias("r" + c) for c in other]), TILE
+    )
+    if scorer == "token_set_ratio":
+        score = native.token_set_from(F.col("l_set"), F.col("r_set"))
+    else:
+        la, lb = F.col("l_len"), F.col("r_len")
+        common = F.when(la <= lb, native.lcs_with(F.col("l_mask"), la, F.col("r_chars"))).otherwise(
+            native.lcs_with(F.col("r_mask"), lb, F.col("l_chars"))
+        )
+        score = F.when(la + lb > 0, F.lit(200.0) * common / (la + lb)).otherwise(F.lit(0.0))
+        if threshold > 0:
+            most = F.lit(200.0) * F.least(la, lb) / (la + lb)
+            pairs = pairs.filter(most >= threshold)
+    scored = pairs.select(
+        F.col(BLOCK), F.col("l" + NAME).alias("_left_name"), F.col("r" + NAME).alias("_right_name"),
+        score.alias("_score"), F.col("r" + POSITION).alias(POSITION),
+    ).filter(F.col("_score") >= threshold)
+    order = [F.desc("_score"), F.col(POSITION), F.col("_right_name")]
+    return top_rows(scored, [BLOCK, "_left_name"], order, cfg.top_n).drop("_nth")
