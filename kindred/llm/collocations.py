@@ -185,3 +185,51 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, shard_word
         "lang", "rank", "phrase", "a", F.col("l").cast("long").alias("l"), F.col("r").cast("long").alias("r"),
         F.col("n").cast("long").alias("n"), F.col("score").cast("long").alias("score"),
     )
+
+
+# The same result in DuckDB SQL over the table ``documents``.
+SQL = r"""
+with d as (
+  select coalesce(lang, 'und') as lang,
+         regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                               '[.,;:!?\x0A-\x0D]') as ps
+  from documents),
+p as (select lang, unnest(ps) as piece from d),
+w as (select lang, list_filter(regexp_split_to_array(piece, '[ \t]+'), lambda x: x <> '') as ws from p),
+t as (select lang, ws, unnest(range(1, len(ws) + 1)) as i from w where len(ws) > 0),
+g as (select lang, ws[i] as w1, ws[i + 1] as w2, ws[i + 2] as w3 from t),
+n as (select lang, count(*) as n from g group by lang),
+u as (select lang, w1 as w, count(*) as f from g group by lang, w1),
+b as (select lang, w1, w2, count(*) as f from g where w2 is not null group by lang, w1, w2),
+c2 as (select lang, w1, w2, f as a from b where f >= 10),
+c3 as (select lang, w1, w2, w3, count(*) as a from g where w3 is not null group by lang, w1, w2, w3 having count(*) >= 10),
+s2 as (
+  select c.lang, c.w1 || ' ' || c.w2 as phrase, c.a, x.f as l, y.f as r,
+         (1000000::hugeint * c.a * c.a) // (x.f::hugeint * y.f) as score
+  from c2 c join u x on x.lang = c.lang and x.w = c.w1 join u y on y.lang = c.lang and y.w = c.w2
+  where not exists (
+    select 1 from c3 where c3.lang = c.lang and 100 * c3.a >= 50 * c.a
+      and ((c3.w1 = c.w1 and c3.w2 = c.w2) or (c3.w2 = c.w1 and c3.w3 = c.w2)))),
+s3 as (
+  select c.lang, c.w1 || ' ' || c.w2 || ' ' || c.w3 as phrase, c.a, x.f as l1, y.f as r1, z.f as l2, v.f as r2,
+         (1000000::hugeint * c.a * c.a) // (x.f::hugeint * y.f) as s1,
+         (1000000::hugeint * c.a * c.a) // (z.f::hugeint * v.f) as s2
+  from c3 c
+  join u x on x.lang = c.lang and x.w = c.w1
+  join b y on y.lang = c.lang and y.w1 = c.w2 and y.w2 = c.w3
+  join b z on z.lang = c.lang and z.w1 = c.w1 and z.w2 = c.w2
+  join u v on v.lang = c.lang and v.w = c.w3),
+scored as (
+  select lang, phrase, a, l, r, score from s2
+  union all
+  select lang, phrase, a, case when s2 < s1 then l2 else l1 end, case when s2 < s1 then r2 else r1 end,
+         case when s2 < s1 then s2 else s1 end
+  from s3),
+ranked as (
+  select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase, a, l, r, score
+  from scored)
+select ranked.lang, rank::bigint as rank, phrase, a::bigint as a, l::bigint as l, r::bigint as r, n.n::bigint as n,
+       score::bigint as score
+from ranked join n on n.lang = ranked.lang
+where rank <= 2000
+"""

@@ -119,4 +119,4 @@ def queries():
 
 
 def oracle_sql():
-    return {"op9_chat_format": chat.SQL}
+    return {"op9_chat_format": chat.SQL, "op11_collocations": collocations.SQL}
