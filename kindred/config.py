@@ -33,6 +33,9 @@ class MatchConfig:
     # Most distinct names of either side that one scoring task compares.
     left_tile_rows: int = 1024
     right_tile_rows: int = 4096
+    # WRatio: score pairs of alike length as Columns in the JVM, the rest in the kernel.
+    # Exact either way; off by default since the kernel's bounds make it faster (README).
+    split_by_length: bool = False
 
     def __post_init__(self):
         object.__setattr__(self, "left_extra_cols", tuple(self.left_extra_cols))

@@ -405,17 +405,19 @@ def _runs(names):
     return runs
 
 
-def best_pairs(scorer, left, right, threshold, top_n):
+def best_pairs(scorer, left, right, threshold, top_n, apart_only=False):
     """Each left name's ``top_n`` best right names scoring at least ``threshold``.
 
     Ties go to the right name listed first.  Returns (left index, right index, score).
+    With ``apart_only``, pairs of alike length (the longer below 1.5 times the shorter, both
+    not empty) are left out: they are scored elsewhere.
     """
     found = []
     right_runs = _runs(right)
     for li in _runs(left):
         for ri in right_runs:
             names = [left[i] for i in li], [right[i] for i in ri]
-            l, r, s = _best_pairs(scorer, *names, threshold, top_n)
+            l, r, s = _best_pairs(scorer, *names, threshold, top_n, apart_only)
             found.append((li[l], ri[r], s))
     if len(found) == 1:
         return found[0]
@@ -426,7 +428,7 @@ def best_pairs(scorer, left, right, threshold, top_n):
     return l[stay], r[stay], s[stay]
 
 
-def _best_pairs(scorer, left, right, threshold, top_n):
+def _best_pairs(scorer, left, right, threshold, top_n, apart_only=False):
     """``best_pairs`` of one run of names per side.
 
     Pairs are scored in the order of their bounds; once a left name has ``top_n`` scores,
@@ -435,6 +437,11 @@ def _best_pairs(scorer, left, right, threshold, top_n):
     a, b = two_sides(left, right)
     overlap = overlaps(a, b)
     bound, settled = score_bounds(scorer, a, b, overlap)
+    if apart_only:
+        la, lb = a.size[:, None].astype(np.int64), b.size[None, :].astype(np.int64)
+        alike = (np.minimum(la, lb) > 0) & (2 * np.maximum(la, lb) < 3 * np.minimum(la, lb))
+        settled &= ~alike
+        bound = np.where(alike, np.float32(-1), bound)
     n_left, n_right = bound.shape
     cutoff = np.full(n_left, threshold, np.float64)
     kept = (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))

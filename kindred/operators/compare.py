@@ -71,6 +71,14 @@ def best_names(left: DataFrame, right: DataFrame, cfg) -> DataFrame:
     scorer, threshold, top_n = cfg.scorer, cfg.score_threshold, cfg.top_n
     if scorer in native.NATIVE:
         return _native_best(left, right, cfg)
+    if scorer == "WRatio" and cfg.split_by_length:
+        return _split_weighted(left, right, cfg)
+    return _kernel_best(left, right, cfg)
+
+
+def _kernel_best(left: DataFrame, right: DataFrame, cfg, apart_only: bool = False) -> DataFrame:
+    """``best_names`` through the NumPy kernel, tile by tile."""
+    scorer, threshold, top_n = cfg.scorer, cfg.score_threshold, cfg.top_n
     position = right.schema[POSITION].dataType.simpleString()
     schema = f"{BLOCK} string, _left_name string, _right_name string, _score double, {POSITION} {position}"
     columns = [BLOCK, "_left_name", "_right_name", "_score", POSITION]
@@ -83,7 +91,7 @@ def best_names(left: DataFrame, right: DataFrame, cfg) -> DataFrame:
             return pd.DataFrame(columns=columns)
         rights = rights.sort_values([POSITION, NAME])
         names, others = lefts[NAME].to_numpy(), rights[NAME].to_numpy()
-        li, ri, score = best_pairs(scorer, list(names), list(others), threshold, top_n)
+        li, ri, score = best_pairs(scorer, list(names), list(others), threshold, top_n, apart_only)
         return pd.DataFrame(
             {
                 BLOCK: lefts[BLOCK].iloc[0],
@@ -105,6 +113,14 @@ def _features(names: DataFrame, scorer: str) -> DataFrame:
     """What a native scorer needs of one name, made once per distinct name."""
     if scorer == "token_set_ratio":
         return names.withColumn("_set", native.word_set(F.col(NAME)))
+    if scorer == "WRatio":
+        names = _features(_features(names, "ratio"), "token_set_ratio")
+        return (
+            names.withColumn("_sorted", native.sorted_words(F.col(NAME)))
+            .withColumn("_mask_sorted", native.masks(F.col("_sorted")))
+            .withColumn("_chars_sorted", native.chars(F.col("_sorted")))
+            .drop("_sorted")
+        )
     text = native.sorted_words(F.col(NAME)) if scorer == "token_sort_ratio" else F.col(NAME)
     return (
         names.withColumn("_text", text)
@@ -115,6 +131,26 @@ def _features(names: DataFrame, scorer: str) -> DataFrame:
     )
 
 
+def _pair_lcs(mask, chars_):
+    la, lb = F.col("l_len"), F.col("r_len")
+    return F.when(la <= lb, native.lcs_with(F.col("l" + mask), la, F.col("r" + chars_))).otherwise(
+        native.lcs_with(F.col("r" + mask), lb, F.col("l" + chars_))
+    )
+
+
+def _split_weighted(left: DataFrame, right: DataFrame, cfg) -> DataFrame:
+    """WRatio split by length ratio.
+
+    Pairs of alike length score max(ratio, 0.95 token_sort, 0.95 token_set): Columns, in a
+    join of tiles.  Only pairs of unlike length, whose terms need window alignments, go to
+    the NumPy kernel.  Both halves keep their best ``top_n``; one more top-n merges them.
+    """
+    alike = _native_best(left, right, cfg)
+    apart = _kernel_best(left, right, cfg, apart_only=True)
+    order = [F.desc("_score"), F.col(POSITION), F.col("_right_name")]
+    return top_rows(alike.unionByName(apart), [BLOCK, "_left_name"], order, cfg.top_n).drop("_nth")
+
+
 def _native_best(left: DataFrame, right: DataFrame, cfg) -> DataFrame:
     """``best_names`` for scorers written as Columns: tiles meet in an equi-join.
 
@@ -135,14 +171,17 @@ def _native_best(left: DataFrame, right: DataFrame, cfg) -> DataFrame:
     pairs = left_tiles.select(*TILE, *[F.col(c).alias("l" + c) for c in own]).join(
         right_tiles.select(*TILE, *[F.col(c).alias("r" + c) for c in other]), TILE
     )
+    la, lb = F.col("l_len"), F.col("r_len")
     if scorer == "token_set_ratio":
         score = native.token_set_from(F.col("l_set"), F.col("r_set"))
+    elif scorer == "WRatio":
+        pairs = pairs.filter((F.least(la, lb) > 0) & (2 * F.greatest(la, lb) < 3 * F.least(la, lb)))
+        ratio = F.lit(200.0) * _pair_lcs("_mask", "_chars") / (la + lb)
+        sort = F.lit(200.0) * _pair_lcs("_mask_sorted", "_chars_sorted") / (la + lb)
+        token = F.greatest(sort, native.token_set_from(F.col("l_set"), F.col("r_set")))
+        score = F.greatest(ratio, F.lit(0.95) * token)
     else:
-        la, lb = F.col("l_len"), F.col("r_len")
-        common = F.when(la <= lb, native.lcs_with(F.col("l_mask"), la, F.col("r_chars"))).otherwise(
-            native.lcs_with(F.col("r_mask"), lb, F.col("l_chars"))
-        )
-        score = F.when(la + lb > 0, F.lit(200.0) * common / (la + lb)).otherwise(F.lit(0.0))
+        score = F.when(la + lb > 0, F.lit(200.0) * _pair_lcs("_mask", "_chars") / (la + lb)).otherwise(F.lit(0.0))
         if threshold > 0:
             most = F.lit(200.0) * F.least(la, lb) / (la + lb)
             pairs = pairs.filter(most >= threshold)

@@ -76,3 +76,21 @@ def test_name_matches_native_equal_kernel(spark, monkeypatch, scorer, threshold)
     slow = sorted(map(tuple, kd.name_matches(left, right, cfg).collect()))
     assert [r[:3] for r in got] == [r[:3] for r in slow]
     assert all(abs(a[3] - b[3]) < 1e-9 for a, b in zip(got, slow))
+
+
+@pytest.mark.parametrize("threshold", [0.0, 60.0])
+def test_wratio_split_by_length_equals_kernel(spark, threshold):
+    """WRatio with alike pairs in the JVM and the rest in the kernel equals the kernel alone."""
+    from dataclasses import replace
+
+    import kindred as kd
+    from test_match import CFG, table
+
+    rng = random.Random(9)
+    left = table(spark, rng, 80, "institution_name", "country_name", "lei")
+    right = table(spark, rng, 120, "SP_ENTITY_NAME", "SP_COUNTRY_NAME", "SP_LEI")
+    cfg = replace(CFG, scorer="WRatio", score_threshold=threshold, top_n=4)
+    split = sorted(map(tuple, kd.name_matches(left, right, replace(cfg, split_by_length=True)).collect()))
+    whole = sorted(map(tuple, kd.name_matches(left, right, cfg).collect()))
+    assert [r[:3] for r in split] == [r[:3] for r in whole]
+    assert all(abs(a[3] - b[3]) < 1e-9 for a, b in zip(split, whole))
