@@ -1,8 +1,8 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
-1. ``vocabulary``: from a bounded sample of labelled rows (``SAMPLE`` rows), the terms whose
-   presence is tied most strongly to the label (likelihood ratio), at most ``TERMS`` of them,
-   less those of clean rows too that better terms explain.
+1. ``vocabulary``: from a bounded sample of labelled rows (``SAMPLE`` rows), the terms seen in
+   at least ``LEAST_DOCS`` rows and relatively more often in toxic ones, ranked by how strongly
+   their presence is tied to the label (likelihood ratio), at most ``TERMS`` of them.
    Terms are words and word beginnings of 4 to 6 letters, which catches inflected forms.
 2. One pass turns every whole text into counts of these terms; document frequencies for the
    weights are taken over all documents.
@@ -29,9 +29,8 @@ from pyspark.sql import functions as F
 
 SAMPLE = 8192
 TERMS = 4096
-LEAST_RATIO = 20.0  # of the likelihood ratio statistic, about one in 10^5 by chance
-LEAST_DOCS = 4
-TOXIC_TO_CLEAN = 20  # toxic rows to a clean one from which on no better term explains a term away
+LEAST_DOCS = 2
+LIFT = 2  # a term must be at least this much more frequent among toxic rows
 BLOCK = 64
 COUNTED_TERMS = 1 << 17  # terms that one task counts before it hands them on
 NEIGHBOURS = 15
@@ -107,46 +106,17 @@ def vocabulary(docs: DataFrame, sample: list) -> list[str]:
         F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")
     )
     a, b = F.col("toxic"), F.col("clean")
-    counts = counts.filter((a + b >= LEAST_DOCS) & (a / n_toxic > b / n_clean) & (a * n_clean > 4 * b * n_toxic))
+    # Every term seen more often among toxic rows than among clean ones may vote; no bar on
+    # the strength of the tie, so a small sample still yields terms.
+    counts = counts.filter((a + b >= LEAST_DOCS) & (a * n_clean > LIFT * b * n_toxic))
     share = (a + b) / F.lit(n_toxic + n_clean)
     part = lambda x, e: F.when(x > 0, x * F.log(x / e)).otherwise(F.lit(0.0))
     ratio = 2 * (
         part(a, n_toxic * share) + part(b, n_clean * share)
         + part(n_toxic - a, n_toxic * (1 - share)) + part(n_clean - b, n_clean * (1 - share))
     )
-    best = counts.withColumn("ratio", ratio).filter(F.col("ratio") >= LEAST_RATIO)
-    terms = [r.term for r in best.orderBy(F.desc("ratio"), "term").limit(TERMS).collect()]
-    held = [(set(r.terms), r.doc_id in toxic) for r in term_counts(chosen, terms).collect()]
-    return _unexplained(terms, held)
-
-
-def _unexplained(terms: list[str], held: list[tuple[set[int], bool]]) -> list[str]:
-    """Terms less those of clean rows too that tell nothing among rows without any better term.
-
-    Words that merely stand in copies of toxic rows are explained by those rows' telling terms.
-    A term with next to no clean rows stays, though it may always stand beside better ones.
-    """
-    rows_of: dict[int, list[int]] = {}
-    for i, (own, _) in enumerate(held):
-        for t in own:
-            rows_of.setdefault(t, []).append(i)
-    open_rows = set(range(len(held)))
-    n_toxic = sum(y for _, y in held)
-    n_clean = len(held) - n_toxic
-    kept = []
-    for t, name in enumerate(terms):
-        every = rows_of.get(t, ())
-        rows = [i for i in every if i in open_rows]
-        a = sum(held[i][1] for i in rows)
-        b = len(rows) - a
-        toxic = sum(held[i][1] for i in every)
-        if n_toxic and n_clean and a * n_clean > b * n_toxic and likelihood_ratio(a, b, n_toxic, n_clean) >= LEAST_RATIO:
-            kept.append(name)
-            open_rows.difference_update(rows)
-            n_toxic, n_clean = n_toxic - a, n_clean - b
-        elif toxic >= (len(every) - toxic) * TOXIC_TO_CLEAN:
-            kept.append(name)
-    return kept
+    best = counts.withColumn("ratio", ratio)
+    return [r.term for r in best.orderBy(F.desc("ratio"), "term").limit(TERMS).collect()]
 
 
 class BlockMaxIndex:

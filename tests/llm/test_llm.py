@@ -566,9 +566,9 @@ def test_terms_beside_stronger_ones_stay(spark):
     scored = toxicity.score(docs, spark.createDataFrame(labels, "doc_id long, toxic int"), lambda c: c < 1000)
     got = {r.doc_id: r for r in scored.filter("doc_id >= 1000").collect()}
     assert [got[i].predicted for i in (1000, 1001, 1002)] == [1, 1, 0]
-    # terms that stand in clean rows too are still explained by better ones
-    held = [({0, 1}, True)] * 30 + [({1}, False)] * 20 + [(set(), False)] * 200
-    assert toxicity._unexplained(["scum", "prose"], held) == ["scum"]
+    # every term tied to the label stays in the vocabulary, however strong the others are
+    sample = toxicity.labelled_sample(spark.createDataFrame(labels, "doc_id long, toxic int"), lambda c: c < 1000).collect()
+    assert {"scum", "idiot", "moron", "clown"} <= set(toxicity.vocabulary(docs, sample))
 
 
 def test_block_max_search_is_exact():
