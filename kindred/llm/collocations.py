@@ -33,7 +33,8 @@ from pyspark.sql import functions as F
 
 from ..operators.stage import staged
 
-SHARD_WORDS = 1 << 20
+SHARD_WORDS = 1 << 18
+OUT_ROWS = 1 << 16  # rows of one batch handed back to Spark
 LEAST = 10
 TOP = 2000
 LONGEST = 3
@@ -91,14 +92,16 @@ def _shard_counts(lang: str, seqs: list, owned: list):
         first, width = first[keep], width[keep]
         if not first.size:
             continue
-        phrase = words[k[0][first]]
-        for j in range(1, size):
-            phrase = phrase + " " + words[k[j][first]]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([lang] * first.size, pa.string()), pa.array(np.full(first.size, size, np.int32)),
-             pa.array(list(phrase), pa.string()), pa.array(width.astype(np.int64))],
-            names=["lang", "size", "phrase", "f"],
-        )
+        for at in range(0, first.size, OUT_ROWS):
+            some, counts = first[at : at + OUT_ROWS], width[at : at + OUT_ROWS]
+            phrase = words[k[0][some]]
+            for j in range(1, size):
+                phrase = phrase + " " + words[k[j][some]]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang] * some.size, pa.string()), pa.array(np.full(some.size, size, np.int32)),
+                 pa.array(list(phrase), pa.string()), pa.array(counts.astype(np.int64))],
+                names=["lang", "size", "phrase", "f"],
+            )
 
 
 def _counting(shard_words: int):
