@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from ..operators.stage import staged
 
-SHARD_WORDS = 1 << 18
+SHARD_WORDS = 1 << 20
 OUT_ROWS = 1 << 16  # rows of one batch handed back to Spark
 LEAST = 10
 TOP = 2000
@@ -70,6 +70,12 @@ def _shard_counts(lang: str, seqs: list, owned: list):
         starts.extend(range(base, base + own))
     if not starts:
         return
+    # The shard's number of words, under size 0.
+    yield pa.RecordBatch.from_arrays(
+        [pa.array([lang], pa.string()), pa.array([0], pa.int32()), pa.array([""], pa.string()),
+         pa.array([len(starts)], pa.int64())],
+        names=["lang", "size", "phrase", "f"],
+    )
     seq = np.append(np.array(ids, np.int64), [-1, -1])
     pos = np.array(starts, np.int64)
     keys = [seq[pos], seq[pos + 1], seq[pos + 2]]
@@ -136,17 +142,21 @@ def _counting(shard_words: int):
 
 
 def phrase_counts(docs: DataFrame, shard_words: int = SHARD_WORDS) -> DataFrame:
-    """(lang, size, phrase, f): every 1- to 3-word phrase with its count, summed over shards."""
+    """(lang, size, phrase, f): every 1- to 3-word phrase with its count, summed over shards,
+    and per language the number of words under size 0 and phrase ""."""
     counted = pieces(docs).mapInArrow(_counting(shard_words), COUNTS)
     return counted.groupBy("lang", "size", "phrase").agg(F.sum("f").alias("f"))
 
 
 def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, shard_words: int = SHARD_WORDS) -> DataFrame:
     """Per lang the first ``top`` collocations: lang, rank, phrase, a, l, r, n, score."""
-    totals = pieces(docs).groupBy("lang").agg(F.sum(F.size("words")).alias("n"))
     # Parts of a candidate occur at least as often as it does, so only frequent phrases
-    # are kept; they are read several times, so they are staged.
-    frequent = staged(phrase_counts(docs, shard_words).filter(F.col("f") >= least))
+    # are kept, and the words of each language (size 0); they are read several times, so
+    # they are staged.
+    counts = phrase_counts(docs, shard_words)
+    kept = staged(counts.filter((F.col("f") >= least) | (F.col("size") == 0)))
+    totals = kept.filter(F.col("size") == 0).select("lang", F.col("f").alias("n"))
+    frequent = kept.filter(F.col("size") > 0)
     cands = frequent.filter(F.col("size") >= 2).withColumn("w", F.split("phrase", " "))
 
     head1 = F.col("w")[0]
