@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 SAMPLE = 8192
 TERMS = 4096
 LEAST_DOCS = 2
+REMEMBERED = 1 << 15  # searches a Python worker remembers by their term counts
 LIFT = 2  # a term must be at least this much more frequent among toxic rows
 BLOCK = 64
 COUNTED_TERMS = 1 << 17  # terms that one task counts before it hands them on
@@ -233,6 +234,8 @@ def score(docs: DataFrame, labels: DataFrame, train, sample_rows: int = SAMPLE)
 
     def run(batches):
         index, idf, base = shared.value
+        # Searches depend on the term counts only, which copies share: remembered, bounded.
+        known: dict[tuple, tuple] = {}
         for batch in batches:
             scores, near, sims = [], [], []
             own_ids = batch.column("doc_id").to_pylist()
@@ -243,7 +246,13 @@ def score(docs: DataFrame, labels: DataFrame, train, sample_rows: int = SAMPLE)
                     near.append([])
                     sims.append([])
                     continue
-                places, sim = index.nearest(query, NEIGHBOURS + 1)
+                key = (tuple(terms), tuple(counts))
+                found = known.get(key)
+                if found is None:
+                    if len(known) >= REMEMBERED:
+                        known.clear()
+                    found = known[key] = index.nearest(query, NEIGHBOURS + 1)
+                places, sim = found
                 # an example's own row is no evidence about it
                 keep = np.flatnonzero(index.ids[places] != (doc_id if doc_id is not None else -1))[:NEIGHBOURS]
                 places, sim = places[keep], sim[keep]
