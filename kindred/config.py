@@ -36,6 +36,9 @@ class MatchConfig:
     # WRatio: score pairs of alike length as Columns in the JVM, the rest in the kernel.
     # Exact either way; off by default since the kernel's bounds make it faster (README).
     split_by_length: bool = False
+    # ratio, token_sort_ratio, token_set_ratio: best names by a native join of tiles.  Exact,
+    # off by default: inside ``match`` it was far slower than the kernel (README).
+    native_scorers: bool = False
 
     def __post_init__(self):
         object.__setattr__(self, "left_extra_cols", tuple(self.left_extra_cols))

@@ -69,7 +69,7 @@ def best_names(left: DataFrame, right: DataFrame, cfg) -> DataFrame:
     per left name and tile, merged by one more top-n.
     """
     scorer, threshold, top_n = cfg.scorer, cfg.score_threshold, cfg.top_n
-    if scorer in native.NATIVE:
+    if scorer in native.NATIVE and cfg.native_scorers:
         return _native_best(left, right, cfg)
     if scorer == "WRatio" and cfg.split_by_length:
         return _split_weighted(left, right, cfg)

@@ -68,11 +68,10 @@ def test_name_matches_native_equal_kernel(spark, monkeypatch, scorer, threshold)
     left = table(spark, rng, 80, "institution_name", "country_name", "lei")
     right = table(spark, rng, 120, "SP_ENTITY_NAME", "SP_COUNTRY_NAME", "SP_LEI")
     cfg = replace(CFG, scorer=scorer, score_threshold=threshold, top_n=4)
-    fast = kd.name_matches(left, right, cfg)
+    fast = kd.name_matches(left, right, replace(cfg, native_scorers=True))
     plan = fast._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "ArrowEval" not in plan
     got = sorted(map(tuple, fast.collect()))
-    monkeypatch.setattr(native, "NATIVE", {})
     slow = sorted(map(tuple, kd.name_matches(left, right, cfg).collect()))
     assert [r[:3] for r in got] == [r[:3] for r in slow]
     assert all(abs(a[3] - b[3]) < 1e-9 for a, b in zip(got, slow))
