@@ -31,8 +31,8 @@ class MatchConfig:
     left_id_col: str | None = None
     right_id_col: str | None = None
     # Most distinct names of either side that one scoring task compares.
-    left_tile_rows: int = 1024
-    right_tile_rows: int = 4096
+    left_tile_rows: int = 8192
+    right_tile_rows: int = 16384
     # WRatio: score pairs of alike length as Columns in the JVM, the rest in the kernel.
     # Exact either way; off by default since the kernel's bounds make it faster (README).
     split_by_length: bool = False

@@ -51,6 +51,10 @@ class Strands:
             self._masks = masks
         return self._masks
 
+    def codes(self, i):
+        """Character codes of one string."""
+        return CODE[self.flat[self.start[i] : self.start[i] + self.size[i]]]
+
     def gather(self, ids, width, pad, front=False):
         """Character matrix of the given strings, padded at the end or at the front."""
         row = np.arange(width, dtype=np.int64)[:, None]

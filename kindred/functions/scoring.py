@@ -10,6 +10,7 @@ from typing import NamedTuple
 import numpy as np
 
 from .lanes import ALPHABET, CODE, Strands, lcs, lcs_kept, windows
+from .screen import PartialScreen, SetScreen, SortScreen, WeightedScreen, sure_counts, window_bounds
 
 # Fixed values of the weighted scorer.
 TOKEN_WEIGHT = 0.95
@@ -25,6 +26,15 @@ _TOKEN_CELLS = 1 << 20
 _FEW_TOKENS = 1 << 12
 # Pairs scored before the first look at which others still matter.
 _FIRST_PAIRS = 1 << 15
+# Left names of at most so many characters, so many of them at least, are screened together.
+_SCREEN_SIZE = 64
+_SCREEN_NAMES = 64
+# Pairs that pass a screen are scored together.
+_SCREEN_PAIRS = 1 << 16
+# From this cutoff on, shared characters rule out most pairs of the weighted scorer.
+_HIGH_CUTOFF = 76.0
+# Sides of the matrices in which all other pairs are bounded.
+_BLOCK = 1024, 4096
 # Bounds are kept in single precision; pairs this close to a cutoff are still scored.
 SLACK = 1e-3
 
@@ -62,6 +72,10 @@ class NameSide:
         self.token_bits = _bit_range(stop - self.token_size, stop)
         self.token_bits_spaced = _bit_range(np.maximum(stop - self.token_size - 1, 0), stop)
 
+    def tokens(self, i):
+        """Numbers of one name's distinct tokens."""
+        return self.token[i, : self.n_tokens[i]].tolist()
+
     def char_counts(self):
         """Occurrences of each character code per name."""
         owner = np.repeat(np.arange(self.size.size), self.size)
@@ -244,7 +258,8 @@ def _weighted(ensemble, a, ai, b, bi, floor, overlap, lift):
     if at.size:
         _, partial = windows(a.plain, ai[at], b.plain, bi[at])
         _raise(score, at, partial * own[at])
-    sorted_bound = 200.0 * overlap.window / np.maximum(short + overlap.window, 1)
+    mixed = overlap.window if overlap.mixed is None else overlap.mixed
+    sorted_bound = 200.0 * mixed / np.maximum(short + mixed, 1)
     at = worth(apart & ~share, sorted_bound * TOKEN_WEIGHT * weight)
     if at.size:
         _, best = windows(a.sorted, ai[at], b.sorted, bi[at])
@@ -307,15 +322,17 @@ class Overlap(NamedTuple):
 
     ``chars``: shared characters.  ``whole``: LCS of the names, in any token order.
     ``window``: LCS of the shorter name with a window no wider than itself, if the score
-    of that window is to be the best.
+    of that window is to be the best.  ``mixed``: the same in any token order, where
+    ``window`` holds for the names' own order only.
     """
 
     chars: np.ndarray
     whole: np.ndarray
     window: np.ndarray
+    mixed: np.ndarray | None = None
 
     def at(self, li, ri):
-        return Overlap(*(x[li, ri] for x in self))
+        return Overlap(*(x[li, ri] for x in self if x is not None))
 
 
 def overlaps(a, b):
@@ -391,16 +408,22 @@ def _first_per_row(rows, count, n_rows):
     return np.arange(rows.size) - first[rows] < count
 
 
-def _runs(names):
-    """Indices of the names, split where padding to the longest would cost too much."""
-    tokens = np.array([n.count(" ") + 1 for n in names])
-    if tokens.size * tokens.max() <= _TOKEN_CELLS:
-        return [np.arange(tokens.size)]
+def _runs(names, chosen, most=None):
+    """Runs of the chosen names, split where padding to the longest would cost too much.
+
+    No run holds more than ``most`` names.
+    """
+    if not chosen.size:
+        return []
+    tokens = np.array([names[i].count(" ") + 1 for i in chosen])
+    most = most or tokens.size
+    if tokens.size <= most and tokens.size * tokens.max() <= _TOKEN_CELLS:
+        return [chosen]
     runs, start = [], 0
     order = np.argsort(tokens, kind="stable")
     for stop in range(1, order.size + 1):
-        if stop == order.size or (stop - start + 1) * tokens[order[stop]] > _TOKEN_CELLS:
-            runs.append(np.sort(order[start:stop]))
+        if stop == order.size or stop - start == most or (stop - start + 1) * tokens[order[stop]] > _TOKEN_CELLS:
+            runs.append(chosen[np.sort(order[start:stop])])
             start = stop
     return runs
 
@@ -413,11 +436,16 @@ def best_pairs(scorer, left, right, threshold, top_n, apart_only=False):
     not empty) are left out: they are scored elsewhere.
     """
     found = []
-    right_runs = _runs(right)
-    for li in _runs(left):
-        for ri in right_runs:
+    size = np.fromiter(map(len, left), np.int64, len(left))
+    easy = (size > 0) & (size <= _SCREEN_SIZE)
+    if apart_only or easy.sum() < _SCREEN_NAMES:
+        easy[:] = False
+    runs = [(li, _screened_pairs) for li in _runs(left, np.flatnonzero(easy))]
+    runs += [(li, _best_pairs) for li in _runs(left, np.flatnonzero(~easy), _BLOCK[0])]
+    for li, best in runs:
+        for ri in _runs(right, np.arange(len(right)), None if best is _screened_pairs else _BLOCK[1]):
             names = [left[i] for i in li], [right[i] for i in ri]
-            l, r, s = _best_pairs(scorer, *names, threshold, top_n, apart_only)
+            l, r, s = best(scorer, *names, threshold, top_n, apart_only)
             found.append((li[l], ri[r], s))
     if len(found) == 1:
         return found[0]
@@ -428,6 +456,121 @@ def best_pairs(scorer, left, right, threshold, top_n, apart_only=False):
     return l[stay], r[stay], s[stay]
 
 
+def _merged(kept, more, top_n, n_left, cutoff):
+    """Best pairs so far with more of them; raises the cutoffs of names that have ``top_n``."""
+    l, r, v = (np.concatenate(x) for x in zip(kept, more))
+    order = np.lexsort((r, -v, l))
+    l, r, v = l[order], r[order], v[order]
+    stay = _first_per_row(l, top_n, n_left)
+    l, r, v = l[stay], r[stay], v[stay]
+    last = np.flatnonzero(~_first_per_row(l, top_n - 1, n_left))
+    cutoff[l[last]] = np.maximum(cutoff[l[last]], v[last])
+    return (l, r, v), l[last]
+
+
+def _lift(li, cutoff, top_n):
+    """Turns scores of pairs known so far into a floor: a name's last kept one can only be higher."""
+
+    def lift(s):
+        order = np.lexsort((-s, li))
+        last = np.searchsorted(li, np.arange(cutoff.size)) + top_n - 1
+        full = last < np.searchsorted(li, np.arange(cutoff.size), "right")
+        floor = cutoff.copy()
+        floor[full] = np.maximum(floor[full], s[order[last[full]]])
+        return floor[li]
+
+    return lift
+
+
+def _screen(scorer, a, b, back, close):
+    if scorer in ("ratio", "token_sort_ratio"):
+        return SortScreen(a, b, "plain" if scorer == "ratio" else "sorted")
+    if scorer == "token_set_ratio":
+        return SetScreen(a, b)
+    if scorer == "partial_ratio":
+        return PartialScreen(a, b, back)
+    weights = TOKEN_WEIGHT, PARTIAL_WEIGHT, FAR_PARTIAL_WEIGHT, FAR_LENGTH_RATIO
+    return WeightedScreen(a, b, back, close, scorer == "ensemble", *weights)
+
+
+def _screened_pairs(scorer, left, right, threshold, top_n, _=False):
+    """``best_pairs`` of left names of at most 64 characters.
+
+    Right names are met in their order, each by all left names at once; only pairs whose
+    counts may reach the left name's cutoff are scored.  A right name that ties with a left
+    name's last kept one comes after it, so it is passed over where ties are exact.
+    """
+    by_size = np.argsort(np.fromiter(map(len, left), np.int64, len(left)), kind="stable")
+    left = [left[i] for i in by_size]
+    if scorer not in ("WRatio", "ensemble"):
+        groups = [(np.arange(len(left)), float(threshold), False)]
+    else:
+        sure = sure_counts(*two_sides(left, right), top_n, FAR_LENGTH_RATIO) >= top_n
+        value = max(float(threshold), 100.0 * TOKEN_WEIGHT * PARTIAL_WEIGHT)
+        close = threshold < _HIGH_CUTOFF
+        groups = [(np.flatnonzero(sure), value, False), (np.flatnonzero(~sure), float(threshold), close)]
+    found = []
+    for who, floor, close in groups:
+        if who.size:
+            l, r, s = _screened(scorer, [left[i] for i in who], right, floor, top_n, close)
+            found.append((by_size[who[l]], r, s))
+    l, r, s = (np.concatenate(x) for x in zip(*found))
+    order = np.argsort(l, kind="stable")
+    return l[order], r[order], s[order]
+
+
+def _screened(scorer, left, right, threshold, top_n, close):
+    """``_screened_pairs`` of left names in the order of their size and alike in cutoff."""
+    a, b = two_sides(left, right)
+    back = [Strands([n[::-1] for n in side]) for side in (left, right)]
+    screen = _screen(scorer, a, b, back[0], close)
+    n_left = len(left)
+    cutoff, full = np.full(n_left, threshold, np.float64), np.zeros(n_left, bool)
+    kept = (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))
+    waiting, n_waiting = [], 0
+
+    def score_waiting():
+        nonlocal kept, waiting, n_waiting
+        li = np.concatenate([x for x, _, _ in waiting])
+        ri = np.repeat(np.array([r for _, r, _ in waiting], np.int64), [x.size for x, _, _ in waiting])
+        order = np.argsort(li, kind="stable")
+        li, ri = li[order], ri[order]
+        stay = slice(None)
+        if waiting[0][2] is not None:
+            shared = np.concatenate([x for _, _, x in waiting])[order]
+            stay = screen.likely(li, ri, shared, lambda at: lcs(a.sorted, li[at], b.sorted, ri[at]))
+        elif scorer == "partial_ratio" and full.any():
+            bound = window_bounds((a.plain, back[0]), li, (b.plain, back[1]), ri)
+            stay = bound + SLACK >= cutoff[li]
+        li, ri = li[stay], ri[stay]
+        waiting, n_waiting = [], 0
+        short = np.minimum(a.size[li], b.size[ri]).astype(np.float32)
+        window = short.copy()
+        if scorer in ("WRatio", "ensemble"):
+            apart = 2 * np.maximum(a.size[li], b.size[ri]) >= 3 * short
+            at = np.flatnonzero(apart | (scorer == "ensemble"))
+            bound = window_bounds((a.plain, back[0]), li[at], (b.plain, back[1]), ri[at])
+            window[at] = bound * short[at] / (200 - bound)
+        overlap = Overlap(short, short, window, short)
+        s = score_pairs(scorer, a, li, b, ri, cutoff[li], overlap, _lift(li, cutoff, top_n))
+        good = s >= cutoff[li]
+        kept, done = _merged(kept, (li[good], ri[good], s[good]), top_n, n_left, cutoff)
+        full[done] = True
+        screen.aim(cutoff, full)
+
+    screen.aim(cutoff, full)
+    for r in range(len(right)):
+        li, shared = screen.alive(r)
+        if li.size:
+            waiting.append((li, r, shared))
+            n_waiting += li.size
+            if n_waiting >= _SCREEN_PAIRS:
+                score_waiting()
+    if waiting:
+        score_waiting()
+    return kept
+
+
 def _best_pairs(scorer, left, right, threshold, top_n, apart_only=False):
     """``best_pairs`` of one run of names per side.
 
@@ -448,13 +591,7 @@ def _best_pairs(scorer, left, right, threshold, top_n, apart_only=False):
 
     def keep(li, ri, s):
         nonlocal kept
-        l, r, v = (np.concatenate(x) for x in zip(kept, (li, ri, s)))
-        order = np.lexsort((r, -v, l))
-        l, r, v = l[order], r[order], v[order]
-        stay = _first_per_row(l, top_n, n_left)
-        kept = l, r, v = l[stay], r[stay], v[stay]
-        last = np.flatnonzero(~_first_per_row(l, top_n - 1, n_left))
-        cutoff[l[last]] = np.maximum(cutoff[l[last]], v[last])
+        kept, _ = _merged(kept, (li, ri, s), top_n, n_left, cutoff)
 
     if settled.any():
         for near in (True, False):
@@ -482,16 +619,7 @@ def _best_pairs(scorer, left, right, threshold, top_n, apart_only=False):
             return kept
         todo[li, ri] = False
 
-        def lift(s, li=li):
-            # A left name's top_n-th score so far: its last kept one can only be higher.
-            order = np.lexsort((-s, li))
-            last = np.searchsorted(li, np.arange(n_left)) + top_n - 1
-            full = last < np.searchsorted(li, np.arange(n_left), "right")
-            floor = cutoff.copy()
-            floor[full] = np.maximum(floor[full], s[order[last[full]]])
-            return floor[li]
-
-        s = score_pairs(scorer, a, li, b, ri, cutoff[li], overlap.at(li, ri), lift)
+        s = score_pairs(scorer, a, li, b, ri, cutoff[li], overlap.at(li, ri), _lift(li, cutoff, top_n))
         good = s >= cutoff[li]
         keep(li[good], ri[good], s[good])
         todo &= bound >= cutoff[:, None]

@@ -13,8 +13,9 @@ from ..functions.scoring import best_pairs
 from .rows import BLOCK, NAME, POSITION, top_rows
 
 TILE = [BLOCK, "_left_tile", "_right_tile"]
-TILES_PER_TASK = 4
-SMALLEST_TILE = 1 << 15
+TILES_PER_TASK = 2
+# About a second of work; a tile's first pairs are scored before its cutoffs rule any out.
+SMALLEST_TILE = 1 << 21
 
 
 def _shuffle_width(df: DataFrame) -> int:
@@ -34,8 +35,8 @@ def tiles(left: DataFrame, right: DataFrame, left_rows: int, right_rows: int):
     )
     pairs = sizes.agg(F.sum(F.col("_n_left").cast("double") * F.col("_n_right"))).first()[0] or 0
     tile_pairs = max(SMALLEST_TILE, pairs / (TILES_PER_TASK * width))
-    right_rows = min(right_rows, math.ceil(2 * math.sqrt(tile_pairs)))
-    left_rows = min(left_rows, math.ceil(tile_pairs / right_rows))
+    left_rows = min(left_rows, math.ceil(math.sqrt(tile_pairs)))
+    right_rows = min(right_rows, math.ceil(tile_pairs / left_rows))
     sizes = sizes.select(
         BLOCK,
         F.ceil(F.col("_n_left") / left_rows).alias("_left_tiles"),
