@@ -31,6 +31,8 @@ _SCREEN_SIZE = 64
 _SCREEN_NAMES = 64
 # Pairs that pass a screen are scored together.
 _SCREEN_PAIRS = 1 << 16
+# Scorers that compare windows.
+_WINDOWED = "partial_ratio", "WRatio", "ensemble"
 # From this cutoff on, shared characters rule out most pairs of the weighted scorer.
 _HIGH_CUTOFF = 76.0
 # Sides of the matrices in which all other pairs are bounded.
@@ -522,7 +524,7 @@ def _screened_pairs(scorer, left, right, threshold, top_n, _=False):
 def _screened(scorer, left, right, threshold, top_n, close):
     """``_screened_pairs`` of left names in the order of their size and alike in cutoff."""
     a, b = two_sides(left, right)
-    back = [Strands([n[::-1] for n in side]) for side in (left, right)]
+    back = [Strands([n[::-1] for n in side]) for side in (left, right) if scorer in _WINDOWED] or [None]
     screen = _screen(scorer, a, b, back[0], close)
     n_left = len(left)
     cutoff, full = np.full(n_left, threshold, np.float64), np.zeros(n_left, bool)

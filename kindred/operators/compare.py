@@ -13,7 +13,8 @@ from ..functions.scoring import best_pairs
 from .rows import BLOCK, NAME, POSITION, top_rows
 
 TILE = [BLOCK, "_left_tile", "_right_tile"]
-TILES_PER_TASK = 2
+# Tiles are at least so many, and meet by chance in twice as many tasks as the shuffle width.
+FEWEST_TILES = 48
 # About a second of work; a tile's first pairs are scored before its cutoffs rule any out.
 SMALLEST_TILE = 1 << 21
 
@@ -34,8 +35,9 @@ def tiles(left: DataFrame, right: DataFrame, left_rows: int, right_rows: int):
         right.groupBy(BLOCK).agg(F.count(F.lit(1)).alias("_n_right")), BLOCK
     )
     pairs = sizes.agg(F.sum(F.col("_n_left").cast("double") * F.col("_n_right"))).first()[0] or 0
-    tile_pairs = max(SMALLEST_TILE, pairs / (TILES_PER_TASK * width))
-    left_rows = min(left_rows, math.ceil(math.sqrt(tile_pairs)))
+    tile_pairs = max(SMALLEST_TILE, pairs / max(FEWEST_TILES, width))
+    # The kernel is fastest with many left names side by side.
+    left_rows = min(left_rows, math.ceil(math.sqrt(2 * tile_pairs)))
     right_rows = min(right_rows, math.ceil(tile_pairs / left_rows))
     sizes = sizes.select(
         BLOCK,
@@ -54,7 +56,7 @@ def tiles(left: DataFrame, right: DataFrame, left_rows: int, right_rows: int):
             .drop("_left_tiles", "_right_tiles")
             # A fixed width: tiles are small in bytes but long in work, so the adaptive
             # merging of small partitions must leave them apart.
-            .repartition(width, *TILE)
+            .repartition(2 * width, *TILE)
         )
 
     return cut(left, "left", "right"), cut(right, "right", "left")
