@@ -27,7 +27,7 @@ _FEW_TOKENS = 1 << 12
 # Pairs scored before the first look at which others still matter.
 _FIRST_PAIRS = 1 << 15
 # Left names of at most so many characters, so many of them at least, are screened together.
-_SCREEN_SIZE = 64
+SCREEN_SIZE = 64
 _SCREEN_NAMES = 64
 # Pairs that pass a screen are scored together.
 _SCREEN_PAIRS = 1 << 16
@@ -430,16 +430,18 @@ def _runs(names, chosen, most=None):
     return runs
 
 
-def best_pairs(scorer, left, right, threshold, top_n, apart_only=False):
+def best_pairs(scorer, left, right, threshold, top_n, apart_only=False, sure=None):
     """Each left name's ``top_n`` best right names scoring at least ``threshold``.
 
     Ties go to the right name listed first.  Returns (left index, right index, score).
     With ``apart_only``, pairs of alike length (the longer below 1.5 times the shorter, both
-    not empty) are left out: they are scored elsewhere.
+    not empty) are left out: they are scored elsewhere.  ``sure`` marks left names that have
+    ``top_n`` right names, here or elsewhere, whose weighted scores a shared token settles
+    (``sure_counts``); of those, lower scores may be left out.
     """
     found = []
     size = np.fromiter(map(len, left), np.int64, len(left))
-    easy = (size > 0) & (size <= _SCREEN_SIZE)
+    easy = (size > 0) & (size <= SCREEN_SIZE)
     if apart_only or easy.sum() < _SCREEN_NAMES:
         easy[:] = False
     runs = [(li, _screened_pairs) for li in _runs(left, np.flatnonzero(easy))]
@@ -447,7 +449,8 @@ def best_pairs(scorer, left, right, threshold, top_n, apart_only=False):
     for li, best in runs:
         for ri in _runs(right, np.arange(len(right)), None if best is _screened_pairs else _BLOCK[1]):
             names = [left[i] for i in li], [right[i] for i in ri]
-            l, r, s = best(scorer, *names, threshold, top_n, apart_only)
+            extra = apart_only if best is _best_pairs else None if sure is None else sure[li]
+            l, r, s = best(scorer, *names, threshold, top_n, extra)
             found.append((li[l], ri[r], s))
     if len(found) == 1:
         return found[0]
@@ -495,7 +498,7 @@ def _screen(scorer, a, b, back, close):
     return WeightedScreen(a, b, back, close, scorer == "ensemble", *weights)
 
 
-def _screened_pairs(scorer, left, right, threshold, top_n, _=False):
+def _screened_pairs(scorer, left, right, threshold, top_n, sure=None):
     """``best_pairs`` of left names of at most 64 characters.
 
     Right names are met in their order, each by all left names at once; only pairs whose
@@ -507,7 +510,10 @@ def _screened_pairs(scorer, left, right, threshold, top_n, _=False):
     if scorer not in ("WRatio", "ensemble"):
         groups = [(np.arange(len(left)), float(threshold), False)]
     else:
-        sure = sure_counts(*two_sides(left, right), top_n, FAR_LENGTH_RATIO) >= top_n
+        if sure is None:
+            sure = sure_counts(*two_sides(left, right), top_n, FAR_LENGTH_RATIO) >= top_n
+        else:
+            sure = sure[by_size]
         value = max(float(threshold), 100.0 * TOKEN_WEIGHT * PARTIAL_WEIGHT)
         close = threshold < _HIGH_CUTOFF
         groups = [(np.flatnonzero(sure), value, False), (np.flatnonzero(~sure), float(threshold), close)]
@@ -533,15 +539,12 @@ def _screened(scorer, left, right, threshold, top_n, close):
 
     def score_waiting():
         nonlocal kept, waiting, n_waiting
-        li = np.concatenate([x for x, _, _ in waiting])
-        ri = np.repeat(np.array([r for _, r, _ in waiting], np.int64), [x.size for x, _, _ in waiting])
+        li = np.concatenate([x for x, _ in waiting])
+        ri = np.repeat(np.array([r for _, r in waiting], np.int64), [x.size for x, _ in waiting])
         order = np.argsort(li, kind="stable")
         li, ri = li[order], ri[order]
         stay = slice(None)
-        if waiting[0][2] is not None:
-            shared = np.concatenate([x for _, _, x in waiting])[order]
-            stay = screen.likely(li, ri, shared, lambda at: lcs(a.sorted, li[at], b.sorted, ri[at]))
-        elif scorer == "partial_ratio" and full.any():
+        if scorer == "partial_ratio" and full.any():
             bound = window_bounds((a.plain, back[0]), li, (b.plain, back[1]), ri)
             stay = bound + SLACK >= cutoff[li]
         li, ri = li[stay], ri[stay]
@@ -562,9 +565,9 @@ def _screened(scorer, left, right, threshold, top_n, close):
 
     screen.aim(cutoff, full)
     for r in range(len(right)):
-        li, shared = screen.alive(r)
+        li = screen.alive(r)
         if li.size:
-            waiting.append((li, r, shared))
+            waiting.append((li, r))
             n_waiting += li.size
             if n_waiting >= _SCREEN_PAIRS:
                 score_waiting()

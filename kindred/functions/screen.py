@@ -48,6 +48,19 @@ class Masks:
             np.subtract(s, u, s)
             np.bitwise_or(s, v, s)
 
+    def some(self, codes, lanes):
+        """LCS of these left names alone with the text."""
+        kinds, at = np.unique(codes, return_inverse=True)
+        rows = self.rows[np.ix_(kinds, lanes)]
+        s, u, v = (x[: lanes.size] for x in (self.s, self.u, self.v))
+        s.fill(_ONES)
+        for k in at.tolist():
+            np.bitwise_and(s, rows[k], u)
+            np.add(s, u, v)
+            np.subtract(s, u, s)
+            np.bitwise_or(s, v, s)
+        return np.uint8(_BITS) - np.bitwise_count(s)
+
     def matched(self):
         """LCS with all characters so far."""
         np.bitwise_count(self.s, self.ones)
@@ -255,7 +268,7 @@ class SortScreen:
         n = int(self.b.size[r])
         if (need := self.known.get(n)) is None:
             need = self.known[n] = least(self.cutoff * (self.a.size + n) / 200, self.strict)
-        return np.flatnonzero(self.masks.run(self.codes(r)) >= need), None
+        return np.flatnonzero(self.masks.run(self.codes(r)) >= need)
 
 
 class Rests:
@@ -328,7 +341,7 @@ class SetScreen:
         tokens = self.b.tokens(r)
         shared = self.shared.run(tokens)
         most = np.minimum(self.rests.run(self.b.words[r], tokens) + shared, short)
-        return np.flatnonzero((most >= need) | (shared >= need_shared)), None
+        return np.flatnonzero((most >= need) | (shared >= need_shared))
 
 
 def sure_counts(a, b, top_n, far):
@@ -362,7 +375,8 @@ def sure_counts(a, b, top_n, far):
 class WeightedScreen:
     """Weighted scorer, or the larger of it and the partial ratio.
 
-    Where cutoffs are high, shared characters rule out nearly all token terms.  ``close``
+    Where cutoffs are high, shared characters rule out nearly all token terms and most of the
+    rest: an LCS, never longer than they are many, is taken of the names they leave.  ``close``
     is for low cutoffs: sorted names, rests of token sets and windows are looked at instead.
     """
 
@@ -372,8 +386,9 @@ class WeightedScreen:
         self.shared = Shared(a)
         self.windows = Windows(a, back) if close and ensemble else None
         self.plain = self.windows.plain if self.windows else Masks(a.plain)
+        self.sorted = Masks(a.sorted)
         if close:
-            self.sorted, self.rests = Masks(a.sorted), Rests(a)
+            self.rests = Rests(a)
         else:
             self.bags = Bags(a.plain)
         self.size, self.unique = a.size.astype(np.int64), a.unique.size.astype(np.int64)
@@ -401,10 +416,11 @@ class WeightedScreen:
         token_set = token * (self.unique + u) / 200
         # Sorted names, then their windows; without a close look token sets as well.
         whole = token * (self.size + n) / 200 if self.close else token_set
-        mixed = np.where(alike, whole, far_token * few / (200 - far_token))
-        # One shared token settles names of unlike length; a later tie changes nothing.
+        # One shared token settles names of unlike length, and no other token term scores
+        # more; a later tie changes nothing.
         settled = 100.0 * self.token * weight
         settled = np.where(self.strict, settled > cutoff, settled >= cutoff)
+        mixed = np.where(alike, whole, np.where(settled, far_token * few / (200 - far_token), 255))
         share = np.where(alike, least(token * few / (200 - token) + 1, any_tie), np.where(settled, 1, 255))
         return (
             least(plain, any_tie),
@@ -415,42 +431,44 @@ class WeightedScreen:
         )
 
     def alive(self, r):
-        """Left names whose pair is open, and the shared tokens of those that only shared
-        characters leave open (255: others)."""
+        """Left names whose pair is open."""
         key = int(self.b.size[r]), int(self.b.unique.size[r])
         if (needs := self.known.get(key)) is None:
             needs = self.known[key] = self._needs(*key)
         plain, mixed, share, token_set, few = needs
         codes, tokens = self.b.plain.codes(r), self.b.tokens(r)
         shared = self.shared.run(tokens)
+        out = shared >= share
+        if not self.close:
+            return self._left_by_characters(r, codes, shared, out, plain, mixed)
         if self.windows:
-            out = self.windows.run(codes)
+            out |= self.windows.run(codes)
             out |= self.windows.whole >= plain
         else:
-            out = self.plain.run(codes) >= plain
-        out |= shared >= share
-        if self.close:
-            out |= self.sorted.run(self.b.sorted.codes(r)) >= mixed
-            out |= np.minimum(self.rests.run(self.b.words[r], tokens) + shared, few) >= token_set
-            return np.flatnonzero(out), None
-        li = np.flatnonzero(out | (self.bags.run(codes) >= mixed))
-        return li, np.where(out[li], np.uint8(255), shared[li])
-
-    def likely(self, li, ri, shared, common):
-        """Of pairs left open by shared characters, those that sorted names leave open.
-
-        ``common`` gives the LCS of sorted names; the rests of token sets share no more.
+            out |= self.plain.run(codes) >= plain
+        out |= self.sorted.run(self.b.sorted.codes(r)) >= mixed
+        out |= np.minimum(self.rests.run(self.b.words[r], tokens) + shared, few) >= token_set
+        return np.flatnonzero(out)
+
+    def _left_by_characters(self, r, codes, shared, out, plain, mixed):
+        """Left names that shared characters leave open, and then the LCS as it is or of sorted names.
+
+        The rests of token sets share no more than sorted names.
         """
-        stay = shared == 255
-        at = np.flatnonzero(~stay)
-        la, lb = self.size[li[at]], self.b.size[ri[at]].astype(np.int64)
-        ua, ub = self.unique[li[at]], self.b.unique.size[ri[at]].astype(np.int64)
-        same = common(at).astype(np.int64)
-        most = np.minimum(same + shared[at], np.minimum(ua, ub))
-        token = np.maximum(200 * same / np.maximum(la + lb, 1), 200 * most / np.maximum(ua + ub, 1))
-        apart = 2 * np.maximum(la, lb) >= 3 * np.minimum(la, lb)
-        stay[at] = apart | (self.token * token + 1e-6 >= self.cutoff[li[at]])
-        return stay
+        common = self.bags.run(codes)
+        at = np.flatnonzero(~out & (common >= plain))
+        if at.size:
+            out[at] = self.plain.some(codes, at) >= plain[at]
+        at = np.flatnonzero(~out & (common >= mixed))
+        if at.size:
+            n, u = int(self.b.size[r]), int(self.b.unique.size[r])
+            size, unique = self.size[at], self.unique[at]
+            same = self.sorted.some(self.b.sorted.codes(r), at).astype(np.int64)
+            most = np.minimum(same + shared[at], np.minimum(unique, u))
+            token = np.maximum(200 * same / np.maximum(size + n, 1), 200 * most / np.maximum(unique + u, 1))
+            apart = 2 * np.maximum(size, n) >= 3 * np.minimum(size, n)
+            out[at] = apart | (self.token * token + 1e-6 >= self.cutoff[at])
+        return np.flatnonzero(out)
 
 
 class PartialScreen:
@@ -463,4 +481,4 @@ class PartialScreen:
         self.windows.aim(cutoff, strict)
 
     def alive(self, r):
-        return np.flatnonzero(self.windows.run(self.b.plain.codes(r))), None
+        return np.flatnonzero(self.windows.run(self.b.plain.codes(r)))

@@ -9,10 +9,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import native
-from ..functions.scoring import best_pairs
+from ..functions.scoring import FAR_LENGTH_RATIO, SCREEN_SIZE, best_pairs
 from .rows import BLOCK, NAME, POSITION, top_rows
+from .stage import staged
 
-TILE = [BLOCK, "_left_tile", "_right_tile"]
+# Left names of one part of a block share tiles.
+PART = "_part"
+TILE = [BLOCK, PART, "_left_tile", "_right_tile"]
 # Tiles are at least so many, and meet by chance in twice as many tasks as the shuffle width.
 FEWEST_TILES = 48
 # About a second of work; a tile's first pairs are scored before its cutoffs rule any out.
@@ -26,12 +29,14 @@ def _shuffle_width(df: DataFrame) -> int:
 def tiles(left: DataFrame, right: DataFrame, left_rows: int, right_rows: int):
     """Cut every block into tiles of at most about ``left_rows`` x ``right_rows`` names.
 
-    A block of any size becomes many equal tasks: each side is split by a hash of the name
+    Every ``_part`` of a block's left names (one number by default) has tiles of its own.  A block of any size becomes many equal tasks: each side is split by a hash of the name
     and copied once per tile of the other side.  Blocks on one side only drop out.  Where
     there are too few pairs to fill the tasks with full tiles, tiles are made smaller.
     """
     width = _shuffle_width(left)
-    sizes = left.groupBy(BLOCK).agg(F.count(F.lit(1)).alias("_n_left")).join(
+    if PART not in left.columns:
+        left = left.withColumn(PART, F.lit(0))
+    sizes = left.groupBy(BLOCK, PART).agg(F.count(F.lit(1)).alias("_n_left")).join(
         right.groupBy(BLOCK).agg(F.count(F.lit(1)).alias("_n_right")), BLOCK
     )
     pairs = sizes.agg(F.sum(F.col("_n_left").cast("double") * F.col("_n_right"))).first()[0] or 0
@@ -41,12 +46,13 @@ def tiles(left: DataFrame, right: DataFrame, left_rows: int, right_rows: int):
     right_rows = min(right_rows, math.ceil(tile_pairs / left_rows))
     sizes = sizes.select(
         BLOCK,
+        F.col(PART).alias(PART),
         F.ceil(F.col("_n_left") / left_rows).alias("_left_tiles"),
         F.ceil(F.col("_n_right") / right_rows).alias("_right_tiles"),
     )
 
     def cut(names, own, other):
-        spread = names.join(sizes, BLOCK)
+        spread = names.join(sizes, [BLOCK, PART] if PART in names.columns else BLOCK)
         return (
             spread.withColumn(f"_{own}_tile", F.pmod(F.xxhash64(NAME), f"_{own}_tiles"))
             .withColumn(
@@ -79,12 +85,34 @@ def best_names(left: DataFrame, right: DataFrame, cfg) -> DataFrame:
     return _kernel_best(left, right, cfg)
 
 
+def settled_names(left: DataFrame, right: DataFrame, top_n: int) -> DataFrame:
+    """(block, name) of left names that share one token with ``top_n`` right names of unlike length.
+
+    A shared token settles the weighted score of names of unlike length, but not far so, from
+    below, so the best ``top_n`` of such a name all reach that score.  Counted per token and
+    lengths, never by pair; only for left names short enough for the screen, which bounds the
+    lengths that meet.
+    """
+    size, token = F.length(NAME), F.explode(F.array_distinct(F.split(NAME, " "))).alias("_token")
+    own = left.filter((F.col(NAME) != "") & (size <= SCREEN_SIZE)).select(BLOCK, NAME, size.alias("_own"), token)
+    held = right.filter((F.col(NAME) != "") & (size <= FAR_LENGTH_RATIO * SCREEN_SIZE))
+    held = held.select(BLOCK, size.alias("_size"), token).groupBy(BLOCK, "_token", "_size").agg(F.count(F.lit(1)).alias("_n"))
+    short, long = F.least("_own", "_size"), F.greatest("_own", "_size")
+    enough = (
+        own.select(BLOCK, "_token", "_own").distinct().join(held, [BLOCK, "_token"])
+        .filter((2 * long >= 3 * short) & (long <= FAR_LENGTH_RATIO * short))
+        .groupBy(BLOCK, "_token", "_own").agg(F.sum("_n").alias("_n")).filter(F.col("_n") >= top_n)
+    )
+    return own.join(enough, [BLOCK, "_token", "_own"], "left_semi").select(BLOCK, NAME).distinct()
+
+
 def _kernel_best(left: DataFrame, right: DataFrame, cfg, apart_only: bool = False) -> DataFrame:
     """``best_names`` through the NumPy kernel, tile by tile."""
     scorer, threshold, top_n = cfg.scorer, cfg.score_threshold, cfg.top_n
     position = right.schema[POSITION].dataType.simpleString()
     schema = f"{BLOCK} string, _left_name string, _right_name string, _score double, {POSITION} {position}"
     columns = [BLOCK, "_left_name", "_right_name", "_score", POSITION]
+    weighted = scorer in ("WRatio", "ensemble") and not apart_only
 
     def compare(lefts: pd.DataFrame, rights: pd.DataFrame) -> pd.DataFrame:
         lefts = lefts[lefts[NAME] != ""]
@@ -94,7 +122,8 @@ def _kernel_best(left: DataFrame, right: DataFrame, cfg, apart_only: bool = Fals
             return pd.DataFrame(columns=columns)
         rights = rights.sort_values([POSITION, NAME])
         names, others = lefts[NAME].to_numpy(), rights[NAME].to_numpy()
-        li, ri, score = best_pairs(scorer, list(names), list(others), threshold, top_n, apart_only)
+        sure = lefts[PART].to_numpy() == 1 if weighted else None
+        li, ri, score = best_pairs(scorer, list(names), list(others), threshold, top_n, apart_only, sure)
         return pd.DataFrame(
             {
                 BLOCK: lefts[BLOCK].iloc[0],
@@ -106,6 +135,10 @@ def _kernel_best(left: DataFrame, right: DataFrame, cfg, apart_only: bool = Fals
         )
 
     left, right = left.select(BLOCK, NAME), right.select(BLOCK, NAME, POSITION)
+    if weighted:
+        # Names whose cutoff is known beforehand need far less of the kernel, apart from the rest.
+        settled = settled_names(left, right, top_n).withColumn(PART, F.lit(1))
+        left = staged(left.join(settled, [BLOCK, NAME], "left").withColumn(PART, F.coalesce(PART, F.lit(0))))
     left_tiles, right_tiles = tiles(left, right, cfg.left_tile_rows, cfg.right_tile_rows)
     scored = left_tiles.groupBy(*TILE).cogroup(right_tiles.groupBy(*TILE)).applyInPandas(compare, schema)
     order = [F.desc("_score"), F.col(POSITION), F.col("_right_name")]
