@@ -11,7 +11,7 @@ positions by the next three word ids, a suffix array to depth three whose last c
 each suffix is the shard's Burrows-Wheeler column.  Every n-gram of one to three words is one
 interval of that order: intervals of one word are refined to the right into those of two and
 three, and each interval's width is the n-gram's count in the shard.  Shards' counts are
-summed by Spark (partial sums in the task, then one shuffle), so a shard costs memory
+summed by Spark (one shuffle), so a shard costs memory
 linear in ``SHARD_WORDS`` whatever the length of a document.
 
 Scoring, exact in integers: a = f(phrase) must reach ``LEAST``; cutting after k words gives
@@ -28,12 +28,13 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.stage import staged
 
-SHARD_WORDS = 1 << 20
+SHARD_WORDS = 1 << 22
 OUT_ROWS = 1 << 16  # rows of one batch handed back to Spark
 LEAST = 10
 TOP = 2000
@@ -43,7 +44,9 @@ PIECE_ENDS = "[.,;:!?\\x{0A}-\\x{0D}]"
 WORD_GAPS = "[ \\t]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
-COUNTS = "lang string, size int, phrase string, f long"
+# A phrase's language and words are one text, parted by a tab, which no word holds: rows of
+# the one shuffle are as narrow as can be.
+COUNTS = "key string, f long"
 
 
 def pieces(docs: DataFrame) -> DataFrame:
@@ -55,88 +58,108 @@ def pieces(docs: DataFrame) -> DataFrame:
     return split.select("lang", words.alias("words")).filter(F.size("words") > 0)
 
 
-def _shard_counts(lang: str, seqs: list, owned: list):
+def _batch(lang: str, words: list[pa.Array], f: np.ndarray) -> pa.RecordBatch:
+    phrase = pc.binary_join_element_wise(*words, " ") if len(words) > 1 else words[0]
+    return pa.RecordBatch.from_arrays(
+        [pc.binary_join_element_wise(lang, phrase, "\t"), pa.array(f.astype(np.int64))], names=["key", "f"]
+    )
+
+
+def _shard_counts(lang: str, parts: list):
     """Counts of 1- to 3-grams of one shard from its depth-three suffix array.
 
-    ``seqs``: word lists (pieces or stretches of one), ``owned``: how many leading starts
-    of each are counted here (the rest only finish n-grams of those).
+    ``parts``: (words, start, size, owned) of stretches: where each lies among the words, and
+    how many leading starts of it are counted here (the rest only finish n-grams of those).
     """
-    vocabulary: dict[str, int] = {}
-    ids, starts = [], []
-    for words, own in zip(seqs, owned):
-        base = len(ids)
-        ids.extend(vocabulary.setdefault(w, len(vocabulary)) for w in words)
-        ids.append(-1)  # the end of a piece
-        starts.extend(range(base, base + own))
-    if not starts:
+    begin = np.cumsum([0] + [len(words) for words, *_ in parts[:-1]])
+    start, size, owned = (np.concatenate([part[k] for part in parts]) for k in (1, 2, 3))
+    start = start + np.repeat(begin, [len(part[1]) for part in parts])
+    if not start.size:
         return
-    # The shard's number of words, under size 0.
-    yield pa.RecordBatch.from_arrays(
-        [pa.array([lang], pa.string()), pa.array([0], pa.int32()), pa.array([""], pa.string()),
-         pa.array([len(starts)], pa.int64())],
-        names=["lang", "size", "phrase", "f"],
-    )
-    seq = np.append(np.array(ids, np.int64), [-1, -1])
-    pos = np.array(starts, np.int64)
+    # The shard's number of words, under an empty phrase.
+    yield _batch(lang, [pa.array([""], pa.string())], owned.sum(keepdims=True))
+    coded = pa.concat_arrays([words for words, *_ in parts]).dictionary_encode()
+    order = pc.sort_indices(coded.dictionary)
+    words = coded.dictionary.take(order)
+    number = np.empty(len(words), np.int64)
+    number[order.to_numpy()] = np.arange(1, len(words) + 1)
+    ids = number[coded.indices.to_numpy()]
+    del coded, parts
+    # Stretches one after the other, each followed by the end of a piece (0).
+    base = np.cumsum(size + 1) - size - 1
+    seq = np.zeros(int((size + 1).sum()) + 2, np.int64)
+    seq[_ranges(base, size)] = ids[_ranges(start, size)]
+    pos = _ranges(base, owned)
     keys = [seq[pos], seq[pos + 1], seq[pos + 2]]
-    order = np.lexsort((keys[2], keys[1], keys[0]))  # the suffix array to depth three
-    k = [key[order] for key in keys]
-    words = np.array(list(vocabulary), dtype=object)
-    n = order.size
+    keys[2][keys[1] == 0] = 0
+    kinds = len(words) + 1
+    if kinds**3 < 1 << 63:  # the suffix array to depth three, its keys in one number
+        key = (keys[0] * kinds + keys[1]) * kinds + keys[2]
+        del keys, seq
+        key.sort()
+        key, third = np.divmod(key, kinds)
+        k = [*np.divmod(key, kinds), third]
+    else:
+        order = np.lexsort(keys[::-1])
+        k = [key[order] for key in keys]
+    change = np.zeros(pos.size, bool)
+    change[0] = True
     for size in range(1, LONGEST + 1):
-        valid = np.ones(n, bool)
-        for j in range(1, size):
-            valid &= k[j] >= 0
-        change = np.zeros(n, bool)
-        change[0] = True
-        for j in range(size):
-            change[1:] |= k[j][1:] != k[j][:-1]
+        change[1:] |= k[size - 1][1:] != k[size - 1][:-1]
         # An interval of ``size`` words starts where a key of its first ``size`` changes.
         first = np.flatnonzero(change)
-        width = np.diff(np.append(first, n))
-        keep = valid[first]
+        width = np.diff(np.append(first, pos.size))
+        keep = k[size - 1][first] > 0
         first, width = first[keep], width[keep]
-        if not first.size:
-            continue
-        for at in range(0, first.size, OUT_ROWS):
-            some, counts = first[at : at + OUT_ROWS], width[at : at + OUT_ROWS]
-            phrase = words[k[0][some]]
-            for j in range(1, size):
-                phrase = phrase + " " + words[k[j][some]]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * some.size, pa.string()), pa.array(np.full(some.size, size, np.int32)),
-                 pa.array(list(phrase), pa.string()), pa.array(counts.astype(np.int64))],
-                names=["lang", "size", "phrase", "f"],
-            )
+        for i in range(0, first.size, OUT_ROWS):
+            some = first[i : i + OUT_ROWS]
+            yield _batch(lang, [words.take(pa.array(k[j][some] - 1)) for j in range(size)], width[i : i + OUT_ROWS])
+
+
+def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... of every run, ``size`` of each."""
+    return np.repeat(start - np.cumsum(size) + size, size) + np.arange(int(size.sum()))
+
+
+def _stretches(length: np.ndarray, most: int):
+    """Where pieces, one after the other, are cut: start, size and owned starts of each stretch.
+
+    A piece longer than ``most`` goes in stretches overlapping by two words.
+    """
+    count = -(-length // most)
+    begin = _ranges(np.zeros(length.size, np.int64), count) * most
+    left = np.repeat(length, count) - begin
+    start = np.repeat(np.cumsum(length) - length, count) + begin
+    return start, np.minimum(left, most + LONGEST - 1), np.minimum(left, most)
 
 
 def _counting(shard_words: int):
     def run(batches):
-        open_shards: dict[str, tuple[list, list, list]] = {}
-        held = [0]  # words of all open shards together
-
-        def flush(lang):
-            seqs, owned, size = open_shards.pop(lang)
-            yield from _shard_counts(lang, seqs, owned)
+        open_shards: dict[str, list] = {}
+        held = 0  # words of all open shards together
 
         for batch in batches:
-            for lang, words in zip(batch.column("lang").to_pylist(), batch.column("words").to_pylist()):
-                # A piece longer than a shard goes in stretches overlapping by two words.
-                step = shard_words
-                for begin in range(0, len(words), step):
-                    stretch = words[begin : begin + step + LONGEST - 1]
-                    own = min(step, len(words) - begin)
-                    if held[0] + len(stretch) > shard_words:
+            langs = batch.column("lang").dictionary_encode()
+            for code, lang in enumerate(langs.dictionary.to_pylist()):
+                lists = batch.column("words").take(pa.array(np.flatnonzero(langs.indices.to_numpy() == code)))
+                words = lists.flatten()
+                start, size, owned = _stretches(lists.value_lengths().to_numpy().astype(np.int64), shard_words)
+                upto, i = np.cumsum(size), 0
+                while i < size.size:
+                    before = int(upto[i] - size[i])
+                    stop = max(i + 1, int(np.searchsorted(upto, before + shard_words - held, "right")))
+                    if held and int(upto[stop - 1]) - before + held > shard_words:
                         for some in list(open_shards):
-                            yield from flush(some)
-                        held[0] = 0
-                    seqs, owned, size = open_shards.setdefault(lang, ([], [], [0]))
-                    seqs.append(stretch)
-                    owned.append(own)
-                    size[0] += len(stretch)
-                    held[0] += len(stretch)
+                            yield from _shard_counts(some, open_shards.pop(some))
+                        held = 0
+                        continue
+                    low, high = int(start[i]), int(start[stop - 1] + size[stop - 1])
+                    some = words.slice(low, high - low), start[i:stop] - low, size[i:stop], owned[i:stop]
+                    open_shards.setdefault(lang, []).append(some)
+                    held += int(upto[stop - 1]) - before
+                    i = stop
         for lang in list(open_shards):
-            yield from flush(lang)
+            yield from _shard_counts(lang, open_shards.pop(lang))
 
     return run
 
@@ -144,8 +167,15 @@ def _counting(shard_words: int):
 def phrase_counts(docs: DataFrame, shard_words: int = SHARD_WORDS) -> DataFrame:
     """(lang, size, phrase, f): every 1- to 3-word phrase with its count, summed over shards,
     and per language the number of words under size 0 and phrase ""."""
-    counted = pieces(docs).mapInArrow(_counting(shard_words), COUNTS)
-    return counted.groupBy("lang", "size", "phrase").agg(F.sum("f").alias("f"))
+    # Shards' phrases hardly repeat inside a task, so sums before the shuffle would cost more
+    # than they save.
+    counted = pieces(docs).mapInArrow(_counting(shard_words), COUNTS).repartition("key")
+    phrase = F.substring_index("key", "\t", -1)
+    spaces = F.length(phrase) - F.length(F.replace(phrase, F.lit(" ")))
+    return counted.groupBy("key").agg(F.sum("f").alias("f")).select(
+        F.expr("left(key, length(key) - length(substring_index(key, '\t', -1)) - 1)").alias("lang"),
+        F.when(phrase == "", 0).otherwise(spaces + 1).alias("size"), phrase.alias("phrase"), "f",
+    )
 
 
 def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, shard_words: int = SHARD_WORDS) -> DataFrame:
@@ -154,7 +184,7 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, shard_word
     # are kept, and the words of each language (size 0); they are read several times, so
     # they are staged.
     counts = phrase_counts(docs, shard_words)
-    kept = staged(counts.filter((F.col("f") >= least) | (F.col("size") == 0)))
+    kept = staged(counts.filter((F.col("f") >= least) | (F.col("phrase") == "")))
     totals = kept.filter(F.col("size") == 0).select("lang", F.col("f").alias("n"))
     frequent = kept.filter(F.col("size") > 0)
     cands = frequent.filter(F.col("size") >= 2).withColumn("w", F.split("phrase", " "))
