@@ -187,19 +187,15 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, shard_word
     kept = staged(counts.filter((F.col("f") >= least) | (F.col("phrase") == "")))
     totals = kept.filter(F.col("size") == 0).select("lang", F.col("f").alias("n"))
     frequent = kept.filter(F.col("size") > 0)
-    cands = frequent.filter(F.col("size") >= 2).withColumn("w", F.split("phrase", " "))
-
-    head1 = F.col("w")[0]
-    tail1 = F.array_join(F.slice("w", 2, 2), " ")
-    head2 = F.array_join(F.slice("w", 1, 2), " ")
-    tail2 = F.element_at("w", -1)
-    cands = (
-        cands.withColumn("_h1", head1).withColumn("_t1", tail1)
-        .withColumn("_h2", F.when(F.col("size") == 3, head2)).withColumn("_t2", F.when(F.col("size") == 3, tail2))
-    )
-    for name, key in (("l1", "_h1"), ("r1", "_t1"), ("l2", "_h2"), ("r2", "_t2")):
-        side = frequent.select("lang", F.col("phrase").alias(key), F.col("f").alias(name))
-        cands = cands.join(side, ["lang", key], "left")
+    cands = frequent.filter(F.col("size") >= 2)
+    # Parts are written out only for the join that needs them, and are never three words.
+    w = F.split("phrase", " ")
+    tail1, head2 = F.array_join(F.slice(w, 2, 2), " "), F.array_join(F.slice(w, 1, 2), " ")
+    three = F.col("size") == 3
+    parts = (("l1", w[0]), ("r1", tail1), ("l2", F.when(three, head2)), ("r2", F.when(three, F.element_at(w, -1))))
+    for name, part in parts:
+        side = frequent.filter(F.col("size") < 3).select("lang", F.col("phrase").alias("_part"), F.col("f").alias(name))
+        cands = cands.withColumn("_part", part).join(side, ["lang", "_part"], "left").drop("_part")
     a = F.col("f")
     big = "decimal(38,0)"
     cands = cands.withColumn("_top", F.lit(1_000_000).cast(big) * a.cast(big) * a.cast(big))
@@ -215,8 +211,8 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, shard_word
         F.when(second, s2).otherwise(s1).alias("score"),
     )
     # Two-word candidates inside a three-word one at either end, with the longer's count.
-    longer = cands.filter(F.col("size") == 3).select(
-        "lang", F.explode(F.array(F.col("_h2"), F.col("_t1"))).alias("phrase"), F.col("f").alias("_longer")
+    longer = frequent.filter(three).select(
+        "lang", F.explode(F.array(head2, tail1)).alias("phrase"), F.col("f").alias("_longer")
     )
     longer = longer.groupBy("lang", "phrase").agg(F.max("_longer").alias("_longer"))
     kept = scored.join(longer, ["lang", "phrase"], "left").filter(
