@@ -11,8 +11,8 @@ positions by the next three word ids, a suffix array to depth three whose last c
 each suffix is the shard's Burrows-Wheeler column.  Every n-gram of one to three words is one
 interval of that order: intervals of one word are refined to the right into those of two and
 three, and each interval's width is the n-gram's count in the shard.  Shards' counts are
-summed by Spark (one shuffle), so a shard costs memory
-linear in ``SHARD_WORDS`` whatever the length of a document.
+summed by Spark (one shuffle, where a pair of words travels once with all third words that
+follow it), so a shard costs memory linear in ``SHARD_WORDS`` whatever the length of a document.
 
 Scoring, exact in integers: a = f(phrase) must reach ``LEAST``; cutting after k words gives
 l = f(head), r = f(tail) and floor(1,000,000 a^2 / (l r)); the lowest cut counts, ties to the
@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from ..operators.stage import staged
 
 SHARD_WORDS = 1 << 22
-OUT_ROWS = 1 << 16  # rows of one batch handed back to Spark
+OUT_ROWS = 1 << 16  # phrases of one batch handed back to Spark, but for the third words of one pair
 LEAST = 10
 TOP = 2000
 LONGEST = 3
@@ -44,9 +44,11 @@ PIECE_ENDS = "[.,;:!?\\x{0A}-\\x{0D}]"
 WORD_GAPS = "[ \\t]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
-# A phrase's language and words are one text, parted by a tab, which no word holds: rows of
-# the one shuffle are as narrow as can be.
-COUNTS = "key string, f long"
+# A phrase's language and first two words are one text, parted by a tab, which no word holds.
+# ``lasts`` are the words that end a phrase of it, parted by spaces, first the empty one of the
+# phrase of ``key`` alone, and ``counts`` are those phrases' counts: rows of the one shuffle
+# are as few and narrow as can be.
+COUNTS = "key string, lasts string, counts string"
 
 
 def pieces(docs: DataFrame) -> DataFrame:
@@ -58,10 +60,13 @@ def pieces(docs: DataFrame) -> DataFrame:
     return split.select("lang", words.alias("words")).filter(F.size("words") > 0)
 
 
-def _batch(lang: str, words: list[pa.Array], f: np.ndarray) -> pa.RecordBatch:
-    phrase = pc.binary_join_element_wise(*words, " ") if len(words) > 1 else words[0]
+def _batch(lang: str, heads: list[pa.Array], edge: np.ndarray, lasts: pa.Array, f: np.ndarray) -> pa.RecordBatch:
+    """Rows of phrases' first words; ``lasts`` and ``f`` of row i lie from edge[i] to edge[i + 1]."""
+    phrase = pc.binary_join_element_wise(*heads, " ") if len(heads) > 1 else heads[0]
+    offsets, counts = pa.array(edge - edge[0], pa.int32()), pa.array(f.astype(np.int64)).cast(pa.string())
+    listed = [pc.binary_join(pa.ListArray.from_arrays(offsets, part), " ") for part in (lasts, counts)]
     return pa.RecordBatch.from_arrays(
-        [pc.binary_join_element_wise(lang, phrase, "\t"), pa.array(f.astype(np.int64))], names=["key", "f"]
+        [pc.binary_join_element_wise(lang, phrase, "\t"), *listed], names=["key", "lasts", "counts"]
     )
 
 
@@ -77,7 +82,8 @@ def _shard_counts(lang: str, parts: list):
     if not start.size:
         return
     # The shard's number of words, under an empty phrase.
-    yield _batch(lang, [pa.array([""], pa.string())], owned.sum(keepdims=True))
+    none = pa.array([""], pa.string())
+    yield _batch(lang, [none], np.arange(2), none, owned.sum(keepdims=True))
     coded = pa.concat_arrays([words for words, *_ in parts]).dictionary_encode()
     order = pc.sort_indices(coded.dictionary)
     words = coded.dictionary.take(order)
@@ -104,16 +110,34 @@ def _shard_counts(lang: str, parts: list):
         k = [key[order] for key in keys]
     change = np.zeros(pos.size, bool)
     change[0] = True
+    intervals = []
     for size in range(1, LONGEST + 1):
         change[1:] |= k[size - 1][1:] != k[size - 1][:-1]
         # An interval of ``size`` words starts where a key of its first ``size`` changes.
         first = np.flatnonzero(change)
         width = np.diff(np.append(first, pos.size))
         keep = k[size - 1][first] > 0
-        first, width = first[keep], width[keep]
-        for i in range(0, first.size, OUT_ROWS):
-            some = first[i : i + OUT_ROWS]
-            yield _batch(lang, [words.take(pa.array(k[j][some] - 1)) for j in range(size)], width[i : i + OUT_ROWS])
+        intervals.append((first[keep], width[keep]))
+    named = pa.concat_arrays([none.cast(words.type), words])  # by id; 0 is no word
+    (first, width), pairs, (third, times) = intervals
+    for i in range(0, first.size, OUT_ROWS):
+        some = slice(i, i + OUT_ROWS)
+        heads, lone = named.take(pa.array(k[0][first[some]])), np.zeros(first[some].size, np.int64)
+        yield _batch(lang, [heads], np.arange(lone.size + 1), named.take(pa.array(lone)), width[some])
+    # A pair's interval holds those of the phrases it begins, which follow it in its row.
+    first, width = pairs
+    begin = np.append(np.searchsorted(third, first), third.size)
+    edge = begin + np.arange(begin.size)
+    i = 0
+    while i < first.size:
+        stop = max(i + 1, int(np.searchsorted(edge, edge[i] + OUT_ROWS, "right")) - 1)
+        inside = slice(begin[i], begin[stop])
+        at = begin[i:stop] - begin[i]
+        lasts = np.insert(k[2][third[inside]], at, 0)
+        f = np.insert(times[inside], at, width[i:stop])
+        heads = [named.take(pa.array(k[j][first[i:stop]])) for j in (0, 1)]
+        yield _batch(lang, heads, edge[i : stop + 1], named.take(pa.array(lasts)), f)
+        i = stop
 
 
 def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -170,11 +194,15 @@ def phrase_counts(docs: DataFrame, shard_words: int = SHARD_WORDS) -> DataFrame:
     # Shards' phrases hardly repeat inside a task, so sums before the shuffle would cost more
     # than they save.
     counted = pieces(docs).mapInArrow(_counting(shard_words), COUNTS).repartition("key")
-    phrase = F.substring_index("key", "\t", -1)
-    spaces = F.length(phrase) - F.length(F.replace(phrase, F.lit(" ")))
-    return counted.groupBy("key").agg(F.sum("f").alias("f")).select(
+    each = counted.select("key", F.inline(F.arrays_zip(F.split("lasts", " ").alias("last"), F.split("counts", " ").alias("f"))))
+    summed = each.groupBy("key", "last").agg(F.sum(F.col("f").cast("long")).alias("f"))
+    head = F.substring_index("key", "\t", -1)
+    spaces = F.length(head) - F.length(F.replace(head, F.lit(" ")))
+    alone = F.col("last") == ""
+    return summed.select(
         F.expr("left(key, length(key) - length(substring_index(key, '\t', -1)) - 1)").alias("lang"),
-        F.when(phrase == "", 0).otherwise(spaces + 1).alias("size"), phrase.alias("phrase"), "f",
+        F.when(head == "", 0).when(alone, spaces + 1).otherwise(LONGEST).alias("size"),
+        F.when(alone, head).otherwise(F.concat(head, F.lit(" "), "last")).alias("phrase"), "f",
     )
 
 

@@ -4,6 +4,8 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -67,3 +69,17 @@ def test_given_table(spark):
 def test_empty(spark):
     docs = spark.createDataFrame([], "text string, lang string")
     assert collocations.collocations(docs).collect() == []
+
+
+def test_pair_is_sent_once_with_its_third_words():
+    words = "a b c a b d a b a b c".split()
+    part = pa.array(words), *(np.array([x]) for x in (0, len(words), len(words)))
+    rows = pa.Table.from_batches(list(collocations._shard_counts("en", [part]))).to_pylist()
+    keys = [r["key"] for r in rows]
+    assert len(keys) == len(set(keys))  # no row of its own for a three-word phrase
+    assert all(r["key"].count(" ") < 2 for r in rows)
+    got = {r["key"]: dict(zip(r["lasts"].split(" "), map(int, r["counts"].split(" ")))) for r in rows}
+    assert got["en\t"] == {"": 11}
+    assert got["en\ta"] == {"": 4}
+    assert got["en\ta b"] == {"": 4, "c": 2, "d": 1, "a": 1}
+    assert got["en\tb a"] == {"": 1, "b": 1}
