@@ -12,12 +12,13 @@ n-grams, so they can't differ in too many segments:
   that others may find it there.  Whatever it skips, one probe of either side must meet.
 * A filter over all packs counts every signature; what occurs once is dropped unshuffled.
 
-Candidates are verified exactly on the whole sets.  Equal sets collapse to one representative
-beforehand.  In each signature's class, members meet one hub after another instead of each
-other; links found so join components.  Members of one class that are then still in different
-components are compared in blocks of small sketches whose unequal bytes bound the differences
-from below; only pairs that the bound leaves open are verified, so no link between different
-components is lost and no list of all pairs arises.
+Candidates meet as small sketches first, whose unequal bytes bound the differences from below;
+pairs that the bound leaves open are verified exactly on the whole sets.  Equal sets collapse to
+one representative beforehand.  In each signature's class, members meet one hub after another
+instead of each other; links found so join components.  Members of a small class that its first
+hub leaves in different components then meet pair by pair, each pair once however many classes
+it shares; those that several hubs of a large class leave apart meet in blocks of sketches.  So
+no link between different components is lost and no list of all pairs arises.
 
 A document with fewer than n words has its whole word sequence as its one n-gram; without words
 its set is empty and linked with nothing.  N-grams are told apart by 64-bit fingerprints; equal
@@ -41,10 +42,13 @@ N = 4
 NUMERATOR, DENOMINATOR = 85, 100
 BAND_GROWTH = 1.4
 HUB_ROUNDS = 2
+PAIRED = 32  # classes of up to so many members list their pairs once the first hub is met
 BLOCK_ROWS = 2048  # members of a class whose sketches meet in one task
 VERIFY_ROWS = 256  # pairs whose sets are in memory at once
 BROADCAST_IDS = 1 << 20  # of 8 bytes each
-_CAND = "doc_id long, n_shingles long, high long, low long, signatures array<struct<signature:long,probe:boolean>>"
+_CAND = (
+    "doc_id long, n_shingles long, high long, low long, signatures array<struct<signature:long,probe:boolean>>, sketch binary"
+)
 
 
 class Bands:
@@ -152,7 +156,7 @@ def shingle_sets(table: pa.Table, n: int) -> list[np.ndarray]:
 def _ask(n: int, n_filter: int, p: int, q: int):
     def run(key, table):
         pack = _Pack(table, n, bands_of(p, q))
-        return packs.sent(key[0].as_py(), pack.keys, pack.counts, n_filter)
+        return packs.sent(key[0].as_py(), pack.keys, pack.counts, n_filter, narrow=True)
 
     return run
 
@@ -160,7 +164,7 @@ def _ask(n: int, n_filter: int, p: int, q: int):
 _CAND_SCHEMA = pa.schema(
     [
         ("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("high", pa.int64()), ("low", pa.int64()),
-        ("signatures", pa.list_(pa.struct([("signature", pa.int64()), ("probe", pa.bool_())]))),
+        ("signatures", pa.list_(pa.struct([("signature", pa.int64()), ("probe", pa.bool_())]))), ("sketch", pa.binary()),
     ]
 )
 
@@ -194,11 +198,14 @@ def _allocate(n: int, n_filter: int, p: int, q: int):
             pa.StructArray.from_arrays([pa.array(np.concatenate(named)), pa.array(np.concatenate(probed))], ["signature", "probe"]),
         )
         prints = [pack.fingerprint(i) if len(s) else (0, 0) for i, s in enumerate(pack.sets)]
+        sketches = [
+            folding_sketch(s, width_for(len(s), p, q) // 2) if b > a else None for s, a, b in zip(pack.sets, edge[:-1], edge[1:])
+        ]
         return pa.table(
             [
                 pack.table["doc_id"], pa.array([len(s) for s in pack.sets], pa.int64()),
                 pa.array([x for x, _ in prints], pa.int64()), pa.array([x for _, x in prints], pa.int64()),
-                listed,
+                listed, pa.array(sketches, pa.binary()),
             ],
             schema=_CAND_SCHEMA,
         )
@@ -239,6 +246,49 @@ def with_ids(rows: DataFrame, ids: DataFrame) -> DataFrame:
     return rows.join(F.broadcast(ids) if small else ids, "doc_id", "left_semi")
 
 
+def _may_link(p: int, q: int):
+    """Pairs whose sketches leave the link open; a pair without both sketches stays."""
+
+    def run(batches):
+        for batch in batches:
+            sides = [batch.column(c) for c in ("sketch_a", "sketch_b")]
+            known = np.flatnonzero(np.logical_and(*(s.is_valid().to_numpy(zero_copy_only=False) for s in sides)))
+            keep = np.ones(batch.num_rows, bool)
+            data, start, width = zip(*((d, o[known], o[known + 1] - o[known]) for d, o in map(text_buffers, sides)))
+            both = sum(batch.column(c).to_numpy(zero_copy_only=False)[known] for c in ("n_a", "n_b"))
+            for wa, wb in set(zip(*(w.tolist() for w in width))):
+                at = np.flatnonzero((width[0] == wa) & (width[1] == wb))
+                w = min(wa, wb)
+                for i in range(0, len(at), VERIFY_ROWS):
+                    some = at[i : i + VERIFY_ROWS]
+                    # a wider sketch folds to the narrower one's width
+                    a, b = (
+                        data[k][start[k][some][:, None] + np.arange(own)].reshape(len(some), -1, w).sum(1, dtype=np.uint8)
+                        for k, own in enumerate((wa, wb))
+                    )
+                    keep[known[some]] = np.count_nonzero(a != b, axis=1) * (q + p) <= both[some] * (q - p)
+            yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(keep)) for c in "ab"], names=["a", "b"])
+
+    return run
+
+
+def open_pairs(pairs: DataFrame, sketches: DataFrame, p: int, q: int) -> DataFrame:
+    """The candidate pairs (a, b) that their sketches (doc_id, n, sketch) leave open."""
+    left, right = (
+        sketches.select(F.col("doc_id").alias(c), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"sketch_{c}")) for c in "ab"
+    )
+    return pairs.select("a", "b").join(right, "b").join(left, "a").mapInArrow(_may_link(p, q), "a long, b long")
+
+
+def one_text_each(docs: DataFrame, wanted: DataFrame, found: DataFrame) -> DataFrame:
+    """(doc_id, text) of the wanted identifiers; only texts of repeated identifiers are shuffled."""
+    repeated = staged(found.groupBy("doc_id").count().filter("count > 1").select("doc_id").join(wanted, "doc_id", "left_semi"))
+    if repeated.isEmpty():
+        return with_ids(docs, wanted)
+    once = with_ids(docs, wanted.join(repeated, "doc_id", "left_anti"))
+    return once.union(with_ids(docs, repeated).dropDuplicates(["doc_id"]))
+
+
 def verified(pairs: DataFrame, texts: DataFrame, n: int) -> DataFrame:
     """(a, b, n_a, n_b, common) of candidate pairs (a, b)."""
     ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
@@ -275,7 +325,15 @@ def join(docs: DataFrame, n: int = N, p: int = NUMERATOR, q: int = DENOMINATOR)
     fits = F.expr(f"n * {q} >= hub_n * {p} and hub_n * {q} >= n * {p}")
     wanted = spots.select("doc_id").distinct()
     wanted = staged(wanted)
-    texts = written(with_ids(docs, wanted).dropDuplicates(["doc_id"]), "texts")
+    texts = written(one_text_each(docs, wanted, found), "texts")
+    # rows of one identifier that differ have no sketch in common, and all their pairs stay open
+    print_of = F.struct("high", "low", "n_shingles")
+    sketches = staged(
+        single.join(wanted, "doc_id", "left_semi").groupBy("doc_id").agg(
+            F.min("n_shingles").alias("n"), F.min(print_of).alias("_least"), F.max(print_of).alias("_most"),
+            F.first("sketch").alias("sketch"),
+        ).select("doc_id", "n", F.when(F.col("_least") == F.col("_most"), F.col("sketch")).alias("sketch"))
+    )
     distances = None
     linked = F.expr(f"{q} * common >= {p} * (n_a + n_b - common)")
     label = None
@@ -284,7 +342,8 @@ def join(docs: DataFrame, n: int = N, p: int = NUMERATOR, q: int = DENOMINATOR)
             pairs = spots.filter("doc_id <> hub").filter(fits).select(F.col("hub").alias("a"), F.col("doc_id").alias("b"))
         else:
             # classes of more than the one pair already compared whose members are still apart
-            placed = spots.filter("members > 2").drop("hub", "hub_n").join(label, "doc_id")
+            some = "members > 2" if turn == 1 else f"members > {PAIRED}"
+            placed = spots.filter(some).drop("hub", "hub_n").join(label, "doc_id")
             apart = placed.groupBy("signature").agg(
                 F.min("component").alias("c1"), F.max("component").alias("c2"),
                 F.min(F.struct(F.xxhash64("doc_id", F.lit(turn)), "doc_id", "n", "component")).alias("h"),
@@ -294,13 +353,18 @@ def join(docs: DataFrame, n: int = N, p: int = NUMERATOR, q: int = DENOMINATOR)
             now = staged(placed.join(apart, "signature"))
             if now.isEmpty():
                 break
+            large = now.filter(f"members > {PAIRED}")
             if turn < HUB_ROUNDS:
-                pairs = now.filter("component <> hub_component").filter(fits).select(F.col("hub").alias("a"), F.col("doc_id").alias("b"))
+                pairs = large.filter("component <> hub_component").filter(fits).select(F.col("hub").alias("a"), F.col("doc_id").alias("b"))
             else:
-                pairs = _rest(now, texts, n, p, q)
+                pairs = _rest(large, texts, n, p, q)
+            if turn == 1:
+                pairs = pairs.union(_pairs(now.filter(f"members <= {PAIRED}"), p, q))
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         if distances is not None:
             pairs = pairs.join(distances, ["a", "b"], "left_anti")
+        if turn < HUB_ROUNDS or turn == 1:
+            pairs = open_pairs(pairs, sketches, p, q)
         new = staged(verified(staged(pairs), texts, n))
         distances = new if distances is None else distances.union(new)
         label = staged(connected(distances.filter(linked).select("a", "b"), spots.select("doc_id").distinct()))
@@ -330,6 +394,18 @@ def sketch(shingles: np.ndarray, width: int) -> bytes:
     return (mix(sums) >> np.uint64(56)).astype(np.uint8).tobytes()
 
 
+def folding_sketch(shingles: np.ndarray, width: int) -> bytes:
+    """A sketch whose segments are sums of bytes modulo 256.
+
+    Its first and second half, added, are the sketch of half the width, so those of sets of
+    unlike size compare.  The bound of ``sketch`` holds.
+    """
+    spread = mix(shingles ^ np.uint64(0x3C3C3C3C3C3C3C3C))
+    segment = (spread & np.uint64(width - 1)).astype(np.int64)
+    sums = np.bincount(segment, (spread >> np.uint64(56)).astype(np.float64), width)
+    return sums.astype(np.int64).astype(np.uint8).tobytes()
+
+
 def _sketches(n: int):
     def run(batches):
         for batch in batches:
@@ -407,6 +483,16 @@ def _with_end(batches):
     yield None
 
 
+def _pairs(spots: DataFrame, p: int, q: int) -> DataFrame:
+    """All pairs of small classes in different components, one side probing, that fit by size."""
+    left, right = (
+        spots.select("signature", *(F.col(c).alias(f"{c}_{side}") for c in ("doc_id", "n", "probe", "component"))) for side in "ab"
+    )
+    met = left.join(right, "signature").filter("doc_id_a < doc_id_b and component_a <> component_b and (probe_a or probe_b)")
+    fitting = met.filter(f"n_a * {q} >= n_b * {p} and n_b * {q} >= n_a * {p}")
+    return fitting.select(F.col("doc_id_a").alias("a"), F.col("doc_id_b").alias("b"))
+
+
 def _rest(spots: DataFrame, texts: DataFrame, n: int, p: int, q: int) -> DataFrame:
     """All pairs of a class in different components that can be linked, by blocks of sketches.
 

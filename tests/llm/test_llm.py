@@ -10,6 +10,7 @@ import brute
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
@@ -258,6 +259,84 @@ def test_sketches_bound_the_differences():
         assert width >= 8 and width & (width - 1) == 0
 
 
+def test_folding_sketches_bound_the_differences():
+    rng = np.random.default_rng(14)
+    for n in (1, 9, 100, 1500):
+        a = rng.integers(0, 1 << 62, n).astype(np.uint64)
+        b = np.concatenate((a[: n - n // 5], rng.integers(0, 1 << 62, n // 7).astype(np.uint64)))
+        wide, narrow = (np.frombuffer(ngram_join.folding_sketch(a, w), np.uint8) for w in (256, 64))
+        assert (wide.reshape(-1, 64).sum(0, dtype=np.uint8) == narrow).all()
+        unequal = (narrow != np.frombuffer(ngram_join.folding_sketch(b, 64), np.uint8)).sum()
+        assert unequal <= len(set(a.tolist()) ^ set(b.tolist()))
+
+
+def test_ngram_join_reads_texts_of_open_pairs_only(spark, monkeypatch):
+    """Texts that share a passage but are far apart are candidates, and no pair of them is verified."""
+    rng = random.Random(21)
+    passage = prose(rng, 120)
+    rows = [(i, f"{passage} {prose(rng, 200, 10**6)}") for i in range(40)]
+    rows += [(100 + i, f"{rows[i][1]} more") for i in range(5)]
+    seen, whole = [], ngram_join.verified
+
+    def watched(pairs, texts, n):
+        seen.extend((r.a, r.b) for r in pairs.collect())
+        return whole(pairs, texts, n)
+
+    monkeypatch.setattr(ngram_join, "verified", watched)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.join(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute.ngram_components(rows)
+    assert sorted(seen) == [(i, 100 + i) for i in range(5)]
+
+
+def test_ngram_join_of_unlike_rows_of_one_identifier(spark):
+    """An identifier's rows of unlike texts: the pairs of either stay open, and rows count once."""
+    rng = random.Random(22)
+    one = prose(rng, 150)
+    rows = [(1, one), (2, one + " end"), (2, one + " end"), (2, one + " last end"), (3, one + " more"), (3, one + " more")]
+    got = sorted(tuple(r)[:3] for r in ngram_join.join(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert [(d, c) for d, _, c in got] == [(1, 1), (2, 1), (3, 1)]
+
+
+def test_narrow_keys_never_count_less():
+    rng = np.random.default_rng(23)
+    parts = [np.unique(rng.integers(0, 1 << 63, 500).astype(np.uint64)) for _ in range(3)]
+    parts[1] = np.union1d(parts[1], parts[0][:50])
+    asked = [packs.sent(i, keys, np.ones(len(keys), np.int64), 3, narrow=True) for i, keys in enumerate(parts)]
+    assert all(len(k.as_py()) == 4 * len(c.as_py()) for t in asked for k, c in zip(t["keys"], t["counts"]))
+    table = pa.concat_tables(asked)
+    answers = [packs.answered(table.filter(pc.equal(table["bucket"], b))) for b in range(3)]
+    for i, keys in enumerate(parts):
+        own = [(b, c) for t in answers for p, b, c in zip(*(t[n].to_pylist() for n in ("pack", "bucket", "codes"))) if p == i]
+        codes = packs.codes_of(keys, 3, *zip(*own))
+        often = sum(np.isin(keys, other).astype(int) for other in parts)
+        assert (codes >= often).all() and (codes == often).mean() > 0.99
+
+
+def test_small_classes_list_a_pair_once(spark):
+    """Pairs of a class in different components, one side probing, that fit by size."""
+    spots = [(1, 10, 57, True, 10), (1, 11, 57, False, 11), (1, 12, 57, False, 12), (1, 13, 90, True, 13), (1, 14, 57, False, 10)]
+    spots += [(2, 10, 57, True, 10), (2, 11, 57, True, 11), (3, 11, 57, False, 11), (3, 12, 57, False, 12)]
+    spots = spark.createDataFrame(spots, "signature long, doc_id long, n long, probe boolean, component long")
+    got = sorted(tuple(r) for r in ngram_join._pairs(spots, 85, 100).distinct().collect())
+    assert got == [(10, 11), (10, 12)]
+
+
+@pytest.mark.parametrize("paired", [2, 32])
+def test_ngram_join_of_classes_either_way(spark, monkeypatch, paired):
+    """Small clusters around the threshold, by pairs of small classes or by blocks."""
+    monkeypatch.setattr(ngram_join, "PAIRED", paired)
+    rng, rows = random.Random(24), []
+    for i in range(0, 120, 12):
+        base = prose(rng, 90).split()
+        for j in range(12):
+            w = list(base)
+            for _ in range(rng.choice([0, 1, 3, 4])):
+                w[rng.randrange(len(w))] = f"n{rng.randrange(10**6)}"
+            rows.append((i + j, " ".join(w)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.join(df).collect()} == brute.ngram_components(rows)
+
+
 def test_ngram_join_awkward_rows(spark):
     rows = [(3, "a b c d e"), (3, "a b c d e"), (1, "A b C d e"), (None, "a b c d e"), (9, None), (8, "")]
     got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.join(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=str)
