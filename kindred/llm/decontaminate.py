@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import LETTERS_DIGITS, covered, runs_of, text_buffers, words
+from .arrays import LETTERS_DIGITS, covered, runs_of, text_buffers, tidy, words
 
 WINDOW = 10
 BLOCK_BYTES = 32 << 20
@@ -246,7 +246,7 @@ def mark(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, keep: tupl
     for b in range(blocks):
         block = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b) if blocks > 1 else items
         phrases = Phrases([(r.item_id, r.text or "") for r in block.collect()], window)
-        rows = rows.mapInArrow(_scan(spark.sparkContext.broadcast(phrases), names), rows.schema)
+        rows = rows.mapInArrow(tidy(_scan(spark.sparkContext.broadcast(phrases), names)), rows.schema)
     return rows
 
 
@@ -283,4 +283,4 @@ def cleaned(marked: DataFrame) -> DataFrame:
                 [pa.array(out, pa.string()) if c == "text" else batch.column(c) for c in names], names=names
             )
 
-    return marked.mapInArrow(run, marked.select(*names).schema)
+    return marked.mapInArrow(tidy(run), marked.select(*names).schema)

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from ..operators.stage import shared_folder, staged
 from . import packs
-from .arrays import NOT_SPACE, grams, mix, text_buffers, words
+from .arrays import NOT_SPACE, grams, mix, text_buffers, tidy, words
 from .components import connected
 
 N = 4
@@ -277,7 +277,7 @@ def open_pairs(pairs: DataFrame, sketches: DataFrame, p: int, q: int) -> DataFra
     left, right = (
         sketches.select(F.col("doc_id").alias(c), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"sketch_{c}")) for c in "ab"
     )
-    return pairs.select("a", "b").join(right, "b").join(left, "a").mapInArrow(_may_link(p, q), "a long, b long")
+    return pairs.select("a", "b").join(right, "b").join(left, "a").mapInArrow(tidy(_may_link(p, q)), "a long, b long")
 
 
 def one_text_each(docs: DataFrame, wanted: DataFrame, found: DataFrame) -> DataFrame:
@@ -296,7 +296,7 @@ def verified(pairs: DataFrame, texts: DataFrame, n: int) -> DataFrame:
     left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
     both = pairs.select("a", "b").join(right, "b").join(left, "a")
-    return both.mapInArrow(_similarities(n), "a long, b long, n_a long, n_b long, common long")
+    return both.mapInArrow(tidy(_similarities(n)), "a long, b long, n_a long, n_b long, common long")
 
 
 def join(docs: DataFrame, n: int = N, p: int = NUMERATOR, q: int = DENOMINATOR) -> DataFrame:
@@ -305,8 +305,8 @@ def join(docs: DataFrame, n: int = N, p: int = NUMERATOR, q: int = DENOMINATOR)
     total = packs.text_bytes(docs)
     n_filter = packs.buckets_for(total, 0.3 / 6, 9)
     dealt = packs.in_packs(docs, total)
-    answers = packs.recurrence(dealt.groupBy("pack").applyInArrow(_ask(n, n_filter, p, q), packs.SENT))
-    found = staged(dealt.groupBy("pack").cogroup(answers.groupBy("pack")).applyInArrow(_allocate(n, n_filter, p, q), _CAND))
+    answers = packs.recurrence(dealt.groupBy("pack").applyInArrow(tidy(_ask(n, n_filter, p, q)), packs.SENT))
+    found = staged(dealt.groupBy("pack").cogroup(answers.groupBy("pack")).applyInArrow(tidy(_allocate(n, n_filter, p, q)), _CAND))
     # one row per identifier; equal sets have one representative
     single = found.filter("doc_id is not null and n_shingles > 0 and size(signatures) > 0")
     classes = single.groupBy("high", "low", "n_shingles").agg(F.min("doc_id").alias("rep"))
@@ -513,7 +513,7 @@ def _rest(spots: DataFrame, texts: DataFrame, n: int, p: int, q: int) -> DataFra
     wanted = rows.select("doc_id", "width").distinct()
     sketches = with_ids(texts, wanted.select("doc_id").distinct()).join(wanted, "doc_id").select("doc_id", "text", "width")
     # joined by document first: the rows, many for each, then carry both in one shuffle
-    sketches = sketches.mapInArrow(_sketches(n), "doc_id long, width long, sketch binary").join(classes, "doc_id")
+    sketches = sketches.mapInArrow(tidy(_sketches(n)), "doc_id long, width long, sketch binary").join(classes, "doc_id")
     own = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).alias("own")
     dealt = (
         rows.select("*", own).select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("met"))
@@ -522,5 +522,5 @@ def _rest(spots: DataFrame, texts: DataFrame, n: int, p: int, q: int) -> DataFra
         .repartition("signature", "low", "high").sortWithinPartitions("signature", "low", "high", "doc_id")
     )
     return dealt.select("signature", "low", "high", "own", "doc_id", "component", "n", "probe", "sketch", "probed", "skipped").mapInArrow(
-        _close_pairs(p, q), "a long, b long"
+        tidy(_close_pairs(p, q)), "a long, b long"
     )

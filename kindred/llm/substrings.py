@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from . import packs
-from .arrays import NOT_SPACE, anchored_runs, covered, grams, runs_of, text_buffers, words
+from .arrays import NOT_SPACE, anchored_runs, covered, grams, runs_of, text_buffers, tidy, words
 
 WINDOW = 35
 ANCHOR = 8
@@ -186,8 +186,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, with_text: bool = Fals
     n_filter = packs.buckets_for(total, density, 9)
     n_buckets = packs.buckets_for(total, 0.2 / 6, 17)
     dealt = packs.in_packs(docs, total, keep)
-    answers = packs.recurrence(dealt.groupBy("pack").applyInArrow(_ask(n_filter, window), packs.SENT))
-    suffixes = dealt.groupBy("pack").cogroup(answers.groupBy("pack")).applyInArrow(_grow(n_filter, n_buckets, window), _PAIRS)
+    answers = packs.recurrence(dealt.groupBy("pack").applyInArrow(tidy(_ask(n_filter, window)), packs.SENT))
+    suffixes = dealt.groupBy("pack").cogroup(answers.groupBy("pack")).applyInArrow(tidy(_grow(n_filter, n_buckets, window)), _PAIRS)
     nodes = suffixes.groupBy("bucket").applyInArrow(_subtrees, packs.ANSWER)
     both = answers.withColumn("kind", F.lit("filter")).union(nodes.withColumn("kind", F.lit("nodes")))
     fields = [("doc_id", pa.int64()), *((c, to_arrow_type(dealt.schema[c].dataType)) for c in keep)]
@@ -196,5 +196,5 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, with_text: bool = Fals
     ddl = ", ".join(
         f"`{name}` {kinds.get(name) or {'kept_sha256': 'string', 'text': 'string'}.get(name, 'long')}" for name, _ in fields
     )
-    final = _cut(n_filter, n_buckets, window, pa.schema(fields), with_text)
+    final = tidy(_cut(n_filter, n_buckets, window, pa.schema(fields), with_text))
     return dealt.groupBy("pack").cogroup(both.groupBy("pack")).applyInArrow(final, ddl)

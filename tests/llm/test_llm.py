@@ -337,6 +337,17 @@ def test_ngram_join_of_classes_either_way(spark, monkeypatch, paired):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.join(df).collect()} == brute.ngram_components(rows)
 
 
+def test_tidy_functions_give_memory_back(monkeypatch):
+    """Whatever the kind of function, memory goes back once it is done and its result is unchanged."""
+    calls = []
+    monkeypatch.setattr(arrays, "give_back", lambda: calls.append(1))
+    rows = arrays.tidy(lambda batches: (b + 1 for b in batches))(iter([1, 2]))
+    assert next(rows) == 2 and not calls
+    assert list(rows) == [3] and len(calls) == 1
+    assert arrays.tidy(lambda key, table: (key, table))(1, 2) == (1, 2) and len(calls) == 2
+    assert arrays.tidy(lambda key, table, other: other)(1, 2, 3) == 3 and len(calls) == 3
+
+
 def test_ngram_join_awkward_rows(spark):
     rows = [(3, "a b c d e"), (3, "a b c d e"), (1, "A b C d e"), (None, "a b c d e"), (9, None), (8, "")]
     got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.join(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=str)
