@@ -57,56 +57,76 @@ _OUT_SCHEMA = pa.schema(
 def transform(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Suffix order and Burrows-Wheeler transform of a text that ends with its only 0.
 
-    Symbols are below 512.  Seven symbols make the first sort key; then the sorted length doubles.
+    Symbols are below 512.  Seven symbols make the first sort key; then the sorted length
+    doubles, and only suffixes that still equal another are sorted again.
     """
     n = len(symbols)
     padded = np.concatenate((symbols.astype(np.int64), np.zeros(7, np.int64)))
     key = np.zeros(n, np.int64)
     for i in range(7):
         key = (key << 9) | padded[i : i + n]
+    order = np.argsort(key)
+    slots, members, key = np.arange(n), order, key[order]
+    rank = np.empty(n, np.int64)
     length = 7
     while True:
-        order = np.argsort(key, kind="stable")
-        ordered = key[order]
-        rank = np.empty(n, np.int64)
-        rank[order] = np.cumsum(np.concatenate(([0], ordered[1:] != ordered[:-1])))
-        if rank[order[-1]] == n - 1:
+        fresh = np.concatenate(([True], key[1:] != key[:-1]))
+        heads = np.flatnonzero(fresh)
+        # the rank is the first place of the suffixes that are still equal
+        rank[members] = np.repeat(slots[heads], np.diff(np.append(heads, len(key))))
+        tied = ~(fresh & np.append(fresh[1:], True))
+        slots, members = slots[tied], members[tied]
+        if not len(slots):
             return order, symbols[order - 1]
-        following = np.zeros(n, np.int64)
-        if length < n:
-            following[:-length] = rank[length:] + 1
-        key = rank * (n + 1) + following
+        # equal suffixes hold no 0 yet, so more symbols follow
+        key = rank[members] * n + rank[members + length]
+        again = np.argsort(key)
+        members, key = members[again], key[again]
+        order[slots] = members
         length *= 2
 
 
 def merged_blocks(transforms: list[np.ndarray], depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Interleave of sorted shards, and where suffixes stop sharing ``depth`` symbols.
+    """The suffixes of sorted shards that share their first ``depth`` symbols with another one.
 
-    Returns the merged order as indexes into the joined shards, and a flag on the first suffix
-    of every block.  Round h + 1 lists each block's suffixes one symbol further left: a stable
-    sort by that symbol keeps the order that round h found.
+    Returns them block by block in the order of the merged interleave, as indexes into the
+    joined shards, and a flag on the first suffix of every block.  A round lists each block's
+    suffixes some symbols further left: a stable sort by those symbols keeps the order of the
+    round before.  A suffix alone in its block stays alone in all further rounds and goes.
     """
     joined = np.concatenate(transforms)
     n = len(joined)
     if len(transforms) > 1 << 16 or n > np.iinfo(np.int32).max:
         raise ValueError(f"{len(transforms)} shards of {n} symbols are too many to merge at once")
-    number = np.uint8 if len(transforms) <= 1 << 8 else np.uint16
-    shard = np.repeat(np.arange(len(transforms)).astype(number), [len(t) for t in transforms])
+    used = np.bincount(joined) > 0
+    n_used = int(np.count_nonzero(used))
+    number = (np.cumsum(used) - 1)[joined]
+    # one symbol further left: the r-th suffix of a shard stays its r-th among those of its symbol
+    back = np.empty(n, np.int32)
+    base = 0
+    for t in transforms:
+        back[base + np.argsort(t, kind="stable")] = np.arange(base, base + len(t), dtype=np.int32)
+        base += len(t)
+    at_once = max((r for r in range(1, depth + 1) if n_used**r <= 1 << 16), default=1)
     place = np.arange(n, dtype=np.int32)
-    block = np.zeros(n, np.int32)
-    counter = np.arange(n, dtype=np.int32)
     first = np.zeros(n, bool)
-    first[0] = True
-    for _ in range(depth):
-        symbol = joined[place]
-        order = np.argsort(symbol, kind="stable")
-        symbol, block = symbol[order], block[order]
-        first[1:] = (symbol[1:] != symbol[:-1]) | (block[1:] != block[:-1])
+    first[:1] = True
+    reach = 0  # symbols that ``code`` and ``further`` take at once
+    while depth and len(place):
+        if reach != min(at_once, depth):
+            reach = min(at_once, depth)
+            code, further = number, back
+            for i in range(1, reach):
+                code, further = code + number[further] * n_used**i, back[further]
+            code = code.astype(np.uint8 if n_used**reach <= 1 << 8 else np.uint16)
         block = np.cumsum(first, dtype=np.int32)
-        # the r-th suffix of a shard stays its r-th, wherever the interleave puts it
-        by_shard = np.argsort(shard[place[order]], kind="stable")
-        place = np.empty(n, np.int32)
-        place[by_shard] = counter
+        symbols = code[place]
+        order = np.argsort(symbols, kind="stable")
+        symbols, block = symbols[order], block[order]
+        first = np.concatenate(([True], (symbols[1:] != symbols[:-1]) | (block[1:] != block[:-1])))
+        shared = ~(first & np.append(first[1:], True))
+        place, first = further[place[order[shared]]], first[shared]
+        depth -= reach
     return place, first
 
 
@@ -136,11 +156,10 @@ def least_in_block(contexts: list[bytes], docs: np.ndarray, size: int) -> list[n
         starts[members] = ends - sizes + base
         base += len(symbols)
     place, first = merged_blocks(transforms, size)
-    where = np.concatenate(positions)[place]
-    owner = np.concatenate(owners)[where]
-    heads = np.flatnonzero(first)
-    least = np.empty(base, np.int64)
-    least[where] = np.repeat(np.minimum.reduceat(owner, heads), np.diff(np.append(heads, base)))
+    where, heads = np.concatenate(positions)[place], np.flatnonzero(first)
+    least = np.concatenate(owners)
+    if len(heads):
+        least[where] = np.repeat(np.minimum.reduceat(least[where], heads), np.diff(np.append(heads, len(where))))
     return [least[s : s + len(c) - size + 1] for s, c in zip(starts, contexts)]
 
 

@@ -435,6 +435,28 @@ def test_merged_transforms_give_the_repeated_intervals():
     assert [g.tolist() for g in got] == [[want[c[i : i + 6]] for i in range(len(c) - 5)] for c in contexts]
 
 
+@pytest.mark.parametrize("letters, size", [(b"ab", 7), (bytes(range(256)), 7), (bytes(range(60, 120)), 5)])
+def test_merge_hands_on_repeated_suffixes_only(letters, size, monkeypatch):
+    rng = random.Random(19)
+    texts = [bytes(rng.choices(letters, k=rng.randrange(size, 90))) for _ in range(80)]
+    texts += [t[3:] + b"x" * size for t in texts[::4]] + [letters]
+    docs = np.array([rng.randrange(40) for _ in texts])
+    want = defaultdict(lambda: 10**9)
+    for t, d in zip(texts, docs):
+        for i in range(len(t) - size + 1):
+            want[t[i : i + size]] = min(want[t[i : i + size]], d)
+    monkeypatch.setattr(bwt_merge, "SHARD_SYMBOLS", 400)
+    handed, merge = [], bwt_merge.merged_blocks
+    monkeypatch.setattr(bwt_merge, "merged_blocks", lambda *x: handed.append(merge(*x)) or handed[-1])
+    got = bwt_merge.least_in_block(texts, docs, size)
+    assert [g.tolist() for g in got] == [[want[t[i : i + size]] for i in range(len(t) - size + 1)] for t in texts]
+    place, first = handed[0]
+    heads = np.append(np.flatnonzero(first), len(place))
+    assert len(place) == len(set(place.tolist())) and (np.diff(heads) > 1).all()
+    if len(letters) > 2:
+        assert len(place) < sum(map(len, texts)) / 2
+
+
 def test_anchors_of_few_documents_and_many_places(monkeypatch):
     """Two log-like documents whose lines share bytes: their anchors are dealt out string by string."""
     rng = random.Random(17)
