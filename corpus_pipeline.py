@@ -49,8 +49,7 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def cut_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Words of benchmark phrases are cut from the texts."""
     ship(spark)
-    marked = decontaminate.mark(docs, table(spark, sf_dir, "benchmark"), keep=("lang", "source"))
-    return _documents(decontaminate.cleaned(marked))
+    return _documents(decontaminate.clean(docs, table(spark, sf_dir, "benchmark"), keep=("lang", "source")))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -28,6 +28,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .arrays import tidy
+
 CHUNK = 1 << 12  # symbols of one piece that the encoder takes in at once
 TEXT_CHUNK = 1 << 16  # characters of a text that are normalised at once
 CACHED = 1 << 16  # entries of each half of a Python worker's two memories, some 20 MB a half (pieces: twice that)
@@ -351,7 +353,7 @@ def encode_digests(docs: DataFrame, path: str) -> DataFrame:
     ``path`` is the tokenizer file, which every node must be able to read.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(_rows(path), OUT)
+    return rows.mapInArrow(tidy(_rows(path)), OUT)
 
 
 def encode_ids(docs: DataFrame, path: str) -> DataFrame:

@@ -233,6 +233,19 @@ def mark(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, keep: tupl
 
     ``hit_words`` holds first and past-the-end word numbers of the merged spans, flat.
     """
+    rows, scans = _scanning(docs, benchmark, window, keep)
+    return rows.mapInArrow(tidy(_in_turn(scans)), rows.schema)
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``cleaned(mark(...))`` in one pass: a task needs one Python worker for both."""
+    rows, scans = _scanning(docs, benchmark, window, keep)
+    names = ["doc_id", "text", *keep]
+    return rows.mapInArrow(tidy(_in_turn([*scans, _cut_out(names)])), rows.select(*names).schema)
+
+
+def _scanning(docs: DataFrame, benchmark: DataFrame, window: int, keep: tuple[str, ...]):
+    """Rows without hits as yet, and a scan for each block of the benchmark."""
     spark = docs.sparkSession
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"), F.col("text").cast("string").alias("text"))
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -243,11 +256,23 @@ def mark(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, keep: tupl
         F.lit(0).cast("long").alias("n_words"), F.array().cast("array<int>").alias("hit_words"),
         F.array().cast("array<string>").alias("hit_items"),
     )
+    scans = []
     for b in range(blocks):
         block = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b) if blocks > 1 else items
         phrases = Phrases([(r.item_id, r.text or "") for r in block.collect()], window)
-        rows = rows.mapInArrow(tidy(_scan(spark.sparkContext.broadcast(phrases), names)), rows.schema)
-    return rows
+        scans.append(_scan(spark.sparkContext.broadcast(phrases), names))
+    return rows, scans
+
+
+def _in_turn(steps):
+    """The steps over batches as one function, each taking what the one before gives."""
+
+    def run(batches):
+        for step in steps:
+            batches = step(batches)
+        yield from batches
+
+    return run
 
 
 def digests(marked: DataFrame) -> DataFrame:
@@ -264,7 +289,10 @@ def digests(marked: DataFrame) -> DataFrame:
 def cleaned(marked: DataFrame) -> DataFrame:
     """The marked rows with the hit spans cut out of their texts, without the marks."""
     names = [c for c in marked.columns if c not in ("n_words", "hit_words", "hit_items")]
+    return marked.mapInArrow(tidy(_cut_out(names)), marked.select(*names).schema)
+
 
+def _cut_out(names: list[str]):
     def run(batches):
         for batch in batches:
             texts = batch.column("text")
@@ -283,4 +311,4 @@ def cleaned(marked: DataFrame) -> DataFrame:
                 [pa.array(out, pa.string()) if c == "text" else batch.column(c) for c in names], names=names
             )
 
-    return marked.mapInArrow(tidy(run), marked.select(*names).schema)
+    return run

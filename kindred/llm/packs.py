@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .arrays import tidy
+
 PACK_BYTES = 4 << 20
 BUCKET_BYTES = 8 << 20
 SENT = "pack long, bucket long, keys binary, counts binary"
@@ -115,4 +117,4 @@ def codes_of(keys: np.ndarray, n_buckets: int, buckets, codes) -> np.ndarray:
 
 def recurrence(asked: DataFrame) -> DataFrame:
     """Answers to all packs' keys: (pack, bucket, codes)."""
-    return asked.groupBy("bucket").applyInArrow(answered, ANSWER)
+    return asked.groupBy("bucket").applyInArrow(tidy(lambda key, table: answered(table)), ANSWER)

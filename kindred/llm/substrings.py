@@ -188,7 +188,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, with_text: bool = Fals
     dealt = packs.in_packs(docs, total, keep)
     answers = packs.recurrence(dealt.groupBy("pack").applyInArrow(tidy(_ask(n_filter, window)), packs.SENT))
     suffixes = dealt.groupBy("pack").cogroup(answers.groupBy("pack")).applyInArrow(tidy(_grow(n_filter, n_buckets, window)), _PAIRS)
-    nodes = suffixes.groupBy("bucket").applyInArrow(_subtrees, packs.ANSWER)
+    nodes = suffixes.groupBy("bucket").applyInArrow(tidy(lambda key, table: _subtrees(table)), packs.ANSWER)
     both = answers.withColumn("kind", F.lit("filter")).union(nodes.withColumn("kind", F.lit("nodes")))
     fields = [("doc_id", pa.int64()), *((c, to_arrow_type(dealt.schema[c].dataType)) for c in keep)]
     fields += [("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string())] + [("text", pa.string())] * with_text

@@ -506,6 +506,19 @@ def leak_items(rows):
     ]
 
 
+def test_clean_takes_one_python_worker_a_task(spark, docs, monkeypatch):
+    benchmark = spark.createDataFrame(leak_items(docs[1]), "item_id long, text string")
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 100)  # several blocks
+    marked = decontaminate.mark(docs[0], benchmark, keep=("bucket",))
+    clean = decontaminate.clean(docs[0], benchmark, keep=("bucket",))
+    for df in (marked, clean):
+        assert df._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    want = decontaminate.cleaned(marked)
+    assert clean.schema == want.schema and sorted(map(str, clean.collect())) == sorted(map(str, want.collect()))
+    texts = {i: t for i, t in docs[1]}
+    assert any(r.text != texts[r.doc_id] for r in clean.collect())
+
+
 def test_decontamination(spark, docs, monkeypatch):
     items = leak_items(docs[1])
     benchmark = spark.createDataFrame(items, "item_id long, text string")
