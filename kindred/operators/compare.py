@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import native
 from ..functions.scoring import FAR_LENGTH_RATIO, SCREEN_SIZE, best_pairs
+from . import jvm
 from .rows import BLOCK, NAME, POSITION, top_rows
 from .stage import staged
 
@@ -18,6 +19,8 @@ PART = "_part"
 TILE = [BLOCK, PART, "_left_tile", "_right_tile"]
 # Tiles are at least so many, and meet by chance in twice as many tasks as the shuffle width.
 FEWEST_TILES = 48
+# Scorers that compare windows have a kernel in the JVM for left names of at most 64 characters.
+WINDOWED = ("partial_ratio",)
 # About a second of work; a tile's first pairs are scored before its cutoffs rule any out.
 SMALLEST_TILE = 1 << 21
 
@@ -82,6 +85,8 @@ def best_names(left: DataFrame, right: DataFrame, cfg) -> DataFrame:
         return _native_best(left, right, cfg)
     if scorer == "WRatio" and cfg.split_by_length:
         return _split_weighted(left, right, cfg)
+    if scorer in WINDOWED and jvm.available(left.sparkSession):
+        return _jvm_best(left, right, cfg)
     return _kernel_best(left, right, cfg)
 
 
@@ -106,6 +111,31 @@ def settled_names(left: DataFrame, right: DataFrame, top_n: int) -> DataFrame:
     return own.join(enough, [BLOCK, "_token", "_own"], "left_semi").select(BLOCK, NAME).distinct()
 
 
+def _marked(left: DataFrame, right: DataFrame, top_n: int) -> DataFrame:
+    """Left names in two parts: those whose cutoff is known beforehand need far less of the kernel."""
+    settled = settled_names(left, right, top_n).withColumn(PART, F.lit(1))
+    return staged(left.join(settled, [BLOCK, NAME], "left").withColumn(PART, F.coalesce(PART, F.lit(0))))
+
+
+def _jvm_best(left: DataFrame, right: DataFrame, cfg) -> DataFrame:
+    """``best_names`` through the kernel in the JVM; longer left names go to the NumPy kernel."""
+    left = left.select(BLOCK, NAME).filter(F.col(NAME) != "")
+    long = left.filter(F.length(NAME) > SCREEN_SIZE)
+    short, others = left.filter(F.length(NAME) <= SCREEN_SIZE), right.select(BLOCK, NAME, POSITION)
+    if cfg.score_threshold > 0:  # a nameless right row scores 0
+        others = others.filter(F.col(NAME) != "")
+    if cfg.scorer != "partial_ratio":
+        short = _marked(short, others, cfg.top_n)
+    left_tiles, right_tiles = tiles(short, others, cfg.left_tile_rows, cfg.right_tile_rows)
+    sure = F.col(PART) == 1
+    scored = jvm.best_pairs(left_tiles, right_tiles, TILE, sure, cfg).select(
+        BLOCK, "_left_name", "_right_name", "_score", POSITION
+    )
+    order = [F.desc("_score"), F.col(POSITION), F.col("_right_name")]
+    best = top_rows(scored, [BLOCK, "_left_name"], order, cfg.top_n).drop("_nth")
+    return best if long.isEmpty() else best.unionByName(_kernel_best(long, right, cfg))
+
+
 def _kernel_best(left: DataFrame, right: DataFrame, cfg, apart_only: bool = False) -> DataFrame:
     """``best_names`` through the NumPy kernel, tile by tile."""
     scorer, threshold, top_n = cfg.scorer, cfg.score_threshold, cfg.top_n
@@ -136,9 +166,7 @@ def _kernel_best(left: DataFrame, right: DataFrame, cfg, apart_only: bool = Fals
 
     left, right = left.select(BLOCK, NAME), right.select(BLOCK, NAME, POSITION)
     if weighted:
-        # Names whose cutoff is known beforehand need far less of the kernel, apart from the rest.
-        settled = settled_names(left, right, top_n).withColumn(PART, F.lit(1))
-        left = staged(left.join(settled, [BLOCK, NAME], "left").withColumn(PART, F.coalesce(PART, F.lit(0))))
+        left = _marked(left, right, top_n)
     left_tiles, right_tiles = tiles(left, right, cfg.left_tile_rows, cfg.right_tile_rows)
     scored = left_tiles.groupBy(*TILE).cogroup(right_tiles.groupBy(*TILE)).applyInPandas(compare, schema)
     order = [F.desc("_score"), F.col(POSITION), F.col("_right_name")]
