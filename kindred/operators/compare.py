@@ -20,7 +20,7 @@ TILE = [BLOCK, PART, "_left_tile", "_right_tile"]
 # Tiles are at least so many, and meet by chance in twice as many tasks as the shuffle width.
 FEWEST_TILES = 48
 # Scorers that compare windows have a kernel in the JVM for left names of at most 64 characters.
-WINDOWED = "partial_ratio", "ensemble"
+WINDOWED = "partial_ratio", "WRatio", "ensemble"
 # About a second of work; a tile's first pairs are scored before its cutoffs rule any out.
 SMALLEST_TILE = 1 << 21
 

@@ -31,7 +31,7 @@ def found(df):
     return sorted((r["_left_name"], r["_right_name"], r["_score"], r[POSITION]) for r in df.collect())
 
 
-@pytest.mark.parametrize("scorer", ["partial_ratio", "ensemble"])
+@pytest.mark.parametrize("scorer", ["partial_ratio", "WRatio", "ensemble"])
 @pytest.mark.parametrize("threshold, top_n", [(0.0, 3), (62.0, 2), (88.0, 9)])
 def test_best_names_equal_brute_force(spark, scorer, threshold, top_n):
     rng = random.Random(5)
@@ -48,7 +48,7 @@ def test_best_names_equal_brute_force(spark, scorer, threshold, top_n):
         assert [(j, pytest.approx(s)) for j, s in best] == [(p, -s) for s, p in sorted(got.get(name, []))], name
 
 
-@pytest.mark.parametrize("scorer", ["partial_ratio", "ensemble"])
+@pytest.mark.parametrize("scorer", ["partial_ratio", "WRatio", "ensemble"])
 def test_both_kernels_give_the_same_rows(spark, scorer):
     """Equal to the last bit, whatever the type of the positions; names above 64 characters too."""
     rng = random.Random(6)
@@ -59,7 +59,7 @@ def test_both_kernels_give_the_same_rows(spark, scorer):
         assert found(best_names(l, r, cfg)) == found(_kernel_best(l, r, cfg))
 
 
-@pytest.mark.parametrize("scorer", ["partial_ratio", "ensemble"])
+@pytest.mark.parametrize("scorer", ["partial_ratio", "WRatio", "ensemble"])
 def test_no_python_where_left_names_fit_a_word(spark, scorer):
     l, r = tables(spark, ["red bank", "north"], ["red bnk", "north trust"])
     best = best_names(l, r, kd.MatchConfig(scorer=scorer, score_threshold=0.0, top_n=2))
